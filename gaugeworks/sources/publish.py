@@ -6,12 +6,14 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from gaugeworks.operators.merge import dedup_readings
+from gaugeworks.operators.merge import dedup_readings, retain_days
 from gaugeworks.schema import READINGS
+from gaugeworks.session import cut_lineage
 from gaugeworks.sources.published import path_exists, read_published
 
 POINTER = "_current"
-ISO_OUT = "yyyy-MM-dd'T'HH:mm:ssXXX"
+ISO_OUT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX"
+DAY_SCHEMA = T.StructType([*READINGS.fields, T.StructField("day", T.DateType())])
 
 
 def by_station_and_time(df: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -102,25 +104,26 @@ def publish_readings(df: DataFrame, metadata: DataFrame, root: str, parquet: boo
     return version
 
 
-def upsert_days(spark: SparkSession, root: str, new: DataFrame, sequence: str | None = None) -> None:
+def upsert_days(
+    spark: SparkSession, root: str, new: DataFrame, sequence: str | None = None, retention_days: int = 0
+) -> None:
     """Idempotent merge into a table partitioned by day, rewriting touched days only.
 
     Keys contain the reading's time, so equal keys share a day: days without new
-    rows cannot change and are neither read nor written. The merged days are
-    written aside first because their old files are an input.
+    rows cannot change and are neither read nor written. Days wholly outside the
+    retention are removed; :func:`read_days` cuts the boundary day exactly.
     """
-    with_day = new.withColumn("day", F.to_date("timestamp"))
-    days = [r[0] for r in with_day.select("day").distinct().collect()]
-    schema = T.StructType([*READINGS.fields, T.StructField("day", T.DateType())])
+    days = [r[0] for r in new.select(F.to_date("timestamp").alias("day")).distinct().collect()]
+    if not days:
+        return
     if path_exists(spark, root):
-        touched = spark.read.schema(schema).parquet(root).filter(F.col("day").isin(days)).drop("day")
+        touched = spark.read.schema(DAY_SCHEMA).parquet(root).filter(F.col("day").isin(days)).drop("day")
     else:
         touched = spark.createDataFrame([], READINGS)
-    merged = dedup_readings(touched, new, sequence=sequence).withColumn("day", F.to_date("timestamp"))
-    aside = f"{root.rstrip('/')}-incoming-{uuid.uuid4().hex}"
-    merged.repartitionByRange("day", "station_code", "timestamp").write.partitionBy("day").parquet(aside)
+    # the touched days are input and output: the merged rows are written aside first
+    merged = cut_lineage(dedup_readings(touched, new, sequence=sequence))
     (
-        spark.read.schema(schema).parquet(aside)
+        merged.withColumn("day", F.to_date("timestamp"))
         .repartitionByRange("day", "station_code", "timestamp")
         .sortWithinPartitions("day", "station_code", "timestamp")
         .write.mode("overwrite")
@@ -128,3 +131,22 @@ def upsert_days(spark: SparkSession, root: str, new: DataFrame, sequence: str |
         .partitionBy("day")
         .parquet(root)
     )
+    if retention_days > 0:
+        _drop_days_before(spark, root, retention_days)
+
+
+def _drop_days_before(spark: SparkSession, root: str, retention_days: int) -> None:
+    table = spark.read.schema(DAY_SCHEMA).parquet(root)
+    held = [r[0] for r in table.select("day").distinct().collect()]
+    newest = max(held, default=None)
+    for day in held:
+        if newest and (newest - day).days > retention_days:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/day={day.isoformat()}")
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def read_days(spark: SparkSession, root: str, retention_days: int = 0) -> DataFrame:
+    """The day table as readings, cut to the retention window."""
+    if not path_exists(spark, root):
+        return spark.createDataFrame([], READINGS)
+    return retain_days(spark.read.schema(DAY_SCHEMA).parquet(root).drop("day"), retention_days)

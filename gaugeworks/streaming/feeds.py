@@ -41,7 +41,9 @@ def latest_stream(readings: DataFrame, columns: list[str], order: list[str]) ->
     return readings.groupBy("station_code").agg(row).select("station_code", "row.*")
 
 
-def upsert_batches(spark: SparkSession, root: str, sequence: str | None = None) -> Callable[[DataFrame, int], None]:
+def upsert_batches(
+    spark: SparkSession, root: str, sequence: str | None = None, retention_days: int = 0
+) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` body: last-wins merge of each batch into the day table.
 
     Rewriting the same batch gives the same table, so a batch repeated after a
@@ -49,7 +51,7 @@ def upsert_batches(spark: SparkSession, root: str, sequence: str | None = None)
     """
 
     def merge(batch: DataFrame, _: int) -> None:
-        upsert_days(spark, root, batch, sequence)
+        upsert_days(spark, root, batch, sequence, retention_days)
 
     return merge
 
