@@ -15,9 +15,9 @@ from gaugeworks.operators.enrich import join_stations
 from gaugeworks.session import pin_utc
 
 STATIONS = [
-    ("click", "Gauge at Click", "Click", "North", "telemetry", 35.0, 75.0, 120.0, 10.5, 70.25),
-    ("view", "Gauge at View", "View", "North", "manual", 30.0, 40.0, 50.0, 11.5, 71.25),
-    ("purchase", "Gauge at Purchase", "Purchase", "South", "telemetry", 35.0, 60.0, 60.0, 12.5, 72.25),
+    ("click", "Gauge at Click", "Click", "North", "telemetry", 60.0, 120.0, 200.0, 10.5, 70.25),
+    ("view", "Gauge at View", "View", "North", "manual", 50.0, 200.0, 200.0, 11.5, 71.25),
+    ("purchase", "Gauge at Purchase", "Purchase", "South", "telemetry", 30.0, 40.0, 50.0, 12.5, 72.25),
     ("signup", "Gauge at Signup", "Signup", "South", "manual", 10.0, 15.0, 20.0, 13.5, 73.25),
 ]
 DIGITS = 6

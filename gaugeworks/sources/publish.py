@@ -11,7 +11,7 @@ from gaugeworks.schema import READINGS
 from gaugeworks.session import cut_lineage
 from gaugeworks.sources.published import path_exists, read_published
 
-POINTER = "_current"
+POINTER = "CURRENT"
 ISO_OUT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX"
 DAY_SCHEMA = T.StructType([*READINGS.fields, T.StructField("day", T.DateType())])
 
