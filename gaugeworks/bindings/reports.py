@@ -490,7 +490,8 @@ RISKS_SQL = """risks AS (
 
 
 def _latest(spark, sf_dir):
-    return now.latest_reading(t.enriched(spark, sf_dir), "event_id")
+    # the newest rows first, the join on what is left
+    return t.enrich(now.latest_reading(t.readings(spark, sf_dir), "event_id"), spark)
 
 
 def _risks(spark, sf_dir):

@@ -94,16 +94,19 @@ def user_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Canonical readings of the five types plus the ingest sequence."""
-    named = readings(spark, sf_dir).withColumn("station_name", F.col("station_code"))
-    joined = join_stations(named, catalogue(spark))
+def enrich(df: DataFrame, spark: SparkSession) -> DataFrame:
+    """Readings of the five types with catalogue columns and status, sequence kept."""
+    joined = join_stations(df.withColumn("station_name", F.col("station_code")), catalogue(spark))
     return joined.withColumn(
         "flood_status",
         flood_status(*[F.col(c) for c in ("water_level", "warning_level", "danger_level", "high_flood_level")]),
     )
 
 
+def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enrich(readings(spark, sf_dir), spark)
+
+
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A source resource per supplier: basin from its region, five-year ranges by rule."""
     supplier, nation, region = (table(spark, sf_dir, t) for t in ("supplier", "nation", "region"))

@@ -27,7 +27,8 @@ def hour_timestamp(hour: Column) -> Column:
 
 
 def block_of(position: Column, size: int = BLOCK) -> Column:
-    return F.floor(position / F.lit(size)).cast("bigint")
+    # never NULL, so that no join adds a filter to one of two equal subplans
+    return F.coalesce(F.floor(position / F.lit(size)).cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def with_halo(df: DataFrame, position: str, back: int, ahead: int, size: int = BLOCK) -> DataFrame:
@@ -65,7 +66,8 @@ def with_positions(
     are conditions counted over the whole series.
     """
     tallies = tallies or {}
-    blocked = df.withColumn("block", block_of(F.col(hour), size)).repartition(KEY, "block")
+    placed = df.filter(F.col(KEY).isNotNull() & F.col(hour).isNotNull())
+    blocked = placed.withColumn("block", block_of(F.col(hour), size)).repartition(KEY, "block")
     summary = blocked.groupBy(KEY, "block").agg(
         F.count(measured).alias("rows_in_block"),
         F.min(hour).alias("low"),

@@ -33,26 +33,39 @@ def last_n(df: DataFrame, n: int, key: str = "station_code", order: list[Column]
 
 
 def look_back(df: DataFrame, days: int) -> DataFrame:
-    """Rows within ``days`` of the station's newest one, 0 keeps all."""
+    """Rows within ``days`` of the station's newest one, 0 keeps all.
+
+    The earliest cutoff of all stations filters the scan before the join, so
+    only rows near the end of the table are joined at all.
+    """
     if not days:
         return df
-    newest = df.groupBy("station_code").agg(F.max("timestamp").alias("newest"))
-    recent = F.col("timestamp") >= F.col("newest") - F.make_dt_interval(F.lit(days))
-    return df.join(newest, "station_code").filter(recent).drop("newest")
+    cutoffs = df.groupBy("station_code").agg(
+        (F.max("timestamp") - F.make_dt_interval(F.lit(days))).alias("cutoff")
+    )
+    earliest = cutoffs.agg(F.min("cutoff")).scalar()
+    return (
+        df.filter(F.col("timestamp") >= earliest)
+        .join(cutoffs, "station_code")
+        .filter(F.col("timestamp") >= F.col("cutoff"))
+        .drop("cutoff")
+    )
 
 
 def kpis(df: DataFrame, sequence: str | None = None) -> DataFrame:
     """Station count, record count, last update, stations not NORMAL."""
     current = latest_reading(df, sequence).agg(
-        F.count("*").alias("stations"),
-        F.count_if(~F.col("flood_status").eqNullSafe(NORMAL)).alias("not_normal"),
-    )
+        F.struct(
+            F.count("*").alias("stations"),
+            F.count_if(~F.col("flood_status").eqNullSafe(NORMAL)).alias("not_normal"),
+        )
+    ).scalar()
     totals = df.agg(F.count("*").alias("records"), F.max("timestamp").alias("last_update"))
     return totals.select(
         "records",
         "last_update",
-        current.select("stations").scalar().alias("stations"),
-        current.select("not_normal").scalar().alias("not_normal"),
+        current["stations"].alias("stations"),
+        current["not_normal"].alias("not_normal"),
     )
 
 
