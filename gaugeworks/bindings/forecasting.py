@@ -261,6 +261,34 @@ def supplier_hours(spark, sf_dir):
     return sr.mad_fence(sr.hourly_mean(sr.dedup_timestamps(supplier_readings(spark, sf_dir), "event_id")))
 
 
+@query(
+    "supplier_series",
+    t.with_ctes(
+        SUPPLIER_READINGS_SQL,
+        "dedup AS (SELECT station_code, \"timestamp\", arg_max(water_level, event_id) AS water_level FROM readings GROUP BY 1, 2)",
+        """hourly AS (SELECT station_code, CAST(floor(epoch("timestamp") / 3600) AS BIGINT) AS hour, avg(water_level) AS level
+           FROM dedup GROUP BY 1, 2)""",
+        GRID_SQL,
+        FENCE_SQL,
+        fill_sql("fence", "filled"),
+        select="""SELECT station_code, count(*) AS hours, min(hour) AS first_hour, max(hour) AS last_hour,
+                  round(avg(level), 4) AS mean_level FROM filled GROUP BY 1""",
+    ),
+)
+def supplier_series(spark, sf_dir):
+    """Full cleaned hourly grid of every supplier, folded to its extent and mean."""
+    return (
+        sr.prepare_series(supplier_readings(spark, sf_dir), "event_id")
+        .groupBy(KEY)
+        .agg(
+            F.count("*").alias("hours"),
+            F.min("hour").alias("first_hour"),
+            F.max("hour").alias("last_hour"),
+            F.round(F.avg("level"), 4).alias("mean_level"),
+        )
+    )
+
+
 # --- features ---------------------------------------------------------------
 FEATURE_SQL = """numbered AS (SELECT *, row_number() OVER o - 1 AS pos, count(*) OVER (PARTITION BY station_code) AS series_rows,
     avg(CASE WHEN level > band_low + 0.5 * (band_high - band_low) THEN 1.0 ELSE 0.0 END) OVER (PARTITION BY station_code) AS junk_share

@@ -79,8 +79,7 @@ def page_cursor(spark, sf_dir):
     ),
 )
 def resource_select(spark, sf_dir):
-    chosen = resources.select_resources(t.manifest(spark, sf_dir), ["ASI", "America "], ["(1990 - 1994)", "(2000 - 2004)"])
-    return resources.require_resources(chosen)
+    return resources.select_resources(t.manifest(spark, sf_dir), ["ASI", "America "], ["(1990 - 1994)", "(2000 - 2004)"])
 
 
 @query(

@@ -28,7 +28,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def level_with_dropouts() -> Column:
-    return F.when(F.col("event_id") % 50 != 0, F.col("value"))
+    """Event value in steps of 1/64 (sums are exact in both engines), every 50th missing."""
+    return F.when(F.col("event_id") % 50 != 0, F.round(F.col("value") * 64) / 64)
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,7 +153,7 @@ def _values(rows: list[tuple]) -> str:
     return ", ".join("(" + ", ".join(literal(v) for v in row) + ")" for row in rows)
 
 
-LEVEL_SQL = "CASE WHEN event_id % 50 <> 0 THEN value END"
+LEVEL_SQL = "CASE WHEN event_id % 50 <> 0 THEN round(value * 64) / 64 END"
 READINGS_SQL = f"""readings AS (
   SELECT event_id, event_type AS station_code, ts AS "timestamp", {LEVEL_SQL} AS water_level FROM events)"""
 USER_READINGS_SQL = f"""user_readings AS (

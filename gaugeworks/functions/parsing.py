@@ -42,15 +42,17 @@ def parse_utc(c: Column, source_zone: str = "UTC", dtype: str = "string") -> Col
     if dtype in ("timestamp_ntz", "date"):
         return F.to_utc_timestamp(c.cast("timestamp"), source_zone)
     text = F.trim(c)
-    with_offset = _iso(F.regexp_replace(text, r"\s*([+-]\d{2}):?(\d{2})$", "$1:$2"))
-    naive = (
-        F.when(text.rlike(DAY_FIRST), F.try_to_timestamp(text, F.lit("d-M-yyyy H:mm")))
-        .when(text.rlike(ISO_DATE), _iso(text))
-        .when(text.rlike(DAY_FIRST_DATE), _day_first(text, "-"))
-        .when(text.rlike(DAY_FIRST_SLASH), _day_first(text, "/"))
-    )
-    return F.when(text.rlike(OFFSET) & text.rlike(ISO_DATE), with_offset).otherwise(
-        F.to_utc_timestamp(naive, source_zone)
+
+    def read(naive: Column) -> Column:
+        return F.to_utc_timestamp(naive, source_zone)
+
+    offset = _iso(F.regexp_replace(text, r"\s*([+-]\d{2}):?(\d{2})$", "$1:$2"))
+    # the provider's own shape first: most rows take one pattern and one parse
+    return (
+        F.when(text.rlike(DAY_FIRST), read(F.try_to_timestamp(text, F.lit("d-M-yyyy H:mm"))))
+        .when(text.rlike(ISO_DATE), F.when(text.rlike(OFFSET), offset).otherwise(read(_iso(text))))
+        .when(text.rlike(DAY_FIRST_DATE), read(_day_first(text, "-")))
+        .when(text.rlike(DAY_FIRST_SLASH), read(_day_first(text, "/")))
     )
 
 

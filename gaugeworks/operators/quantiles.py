@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from gaugeworks.session import cut_lineage
 
-GATHER_LIMIT = 100_000
+GATHER_LIMIT = 200_000
 SPLITS = 64
 
 
@@ -16,9 +16,9 @@ def exact_quantiles(df: DataFrame, column: str, probs: list[float], gather_limit
     """Linear-interpolated quantiles, as many as ``probs``; NULLs do not count.
 
     Values are counted once (map-side combined, written to the checkpoint
-    folder). While a wanted rank lies among more than ``gather_limit`` distinct
-    values, 64 splitters from a mergeable sketch narrow the range around it; the
-    few distinct values left are then read in order.
+    folder). Up to ``gather_limit`` distinct values one weighted percentile does.
+    Beyond, while a wanted rank lies among more of them, 64 splitters from a
+    mergeable sketch narrow the range around it; the few left are read in order.
     """
     counts = cut_lineage(
         df.filter(F.col(column).isNotNull())
@@ -28,6 +28,8 @@ def exact_quantiles(df: DataFrame, column: str, probs: list[float], gather_limit
     total, distinct = counts.agg(F.sum("n"), F.count("*")).first()
     if not total:
         return [None] * len(probs)
+    if distinct <= gather_limit:
+        return list(counts.agg(F.percentile("v", probs, "n")).first()[0])
     spots = [p * (total - 1) for p in probs]
     value_at: dict[int, float] = {}
     for rank in sorted({r for s in spots for r in (math.floor(s), math.ceil(s))}):
