@@ -29,7 +29,7 @@ def exact_quantiles(df: DataFrame, column: str, probs: list[float], gather_limit
     if not total:
         return [None] * len(probs)
     if distinct <= gather_limit:
-        return list(counts.agg(F.percentile("v", probs, "n")).first()[0])
+        return list(counts.agg(F.percentile("v", probs, F.col("n"))).first()[0])
     spots = [p * (total - 1) for p in probs]
     value_at: dict[int, float] = {}
     for rank in sorted({r for s in spots for r in (math.floor(s), math.ceil(s))}):
