@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
@@ -14,9 +14,10 @@ from gaugeworks.functions.parsing import to_day
 from gaugeworks.functions.text import clean_name, reading_key
 from gaugeworks.operators import columns as cols
 from gaugeworks.operators.enrich import absent_stations, join_stations, monitored_only, unresolved_names
-from gaugeworks.operators.merge import merge_readings
+from gaugeworks.operators.merge import dedup_readings, retain_days
 from gaugeworks.plans.daily import merge_daily, postprocess, with_daily_key
 from gaugeworks.plans.hourly import enrich_readings, fetch_new, transform_readings
+from gaugeworks.session import cut_lineage
 from gaugeworks.sources.published import daily_since
 
 
@@ -438,13 +439,12 @@ one AS (SELECT * FROM old_and_new QUALIFY row_number() OVER (PARTITION BY dedup_
     ),
 )
 def hourly_run(spark, sf_dir):
-    from datetime import datetime
-
     raw, stations = t.raw_readings(spark, sf_dir), t.catalogue(spark)
     published = transform_readings(raw, stations, "Asia/Kolkata").filter(F.col("timestamp") <= "2024-01-12")
     window = (datetime(2024, 1, 10), datetime(2024, 1, 28))
     fresh = fetch_new(raw, stations, *window, "Asia/Kolkata")
-    return merge_readings(published, enrich_readings(cols.drop_untimed(fresh), stations), retention_days=20)
+    merged = dedup_readings(published, enrich_readings(cols.drop_untimed(fresh), stations))
+    return retain_days(cut_lineage(merged), 20)
 
 
 @query(

@@ -101,16 +101,15 @@ def resource_prune(spark, sf_dir):
     t.with_ctes(
         t.MANIFEST_SQL,
         t.USER_CATALOGUE_SQL,
-        select="""SELECT m.resource_id, coalesce(array_to_string(n.names, ','), '') AS station_names
-          FROM manifest m LEFT JOIN (SELECT basin_name, list(DISTINCT source_station_name ORDER BY source_station_name) AS names
-                                     FROM user_catalogue WHERE basin_name <> 'asia' GROUP BY 1) n
+        select="""SELECT m.resource_id, m.time_range, n.source_station_name FROM manifest m LEFT JOIN
+          (SELECT DISTINCT basin_name, source_station_name FROM user_catalogue WHERE basin_name <> 'asia') n
             ON n.basin_name = m.basin""",
     ),
 )
 def station_pushdown(spark, sf_dir):
     stations = t.user_catalogue(spark, sf_dir).filter("basin_name <> 'asia'")
     asked = resources.resource_stations(t.manifest(spark, sf_dir), stations)
-    return asked.select("resource_id", F.array_join("station_names", ",").alias("station_names"))
+    return asked.select("resource_id", "time_range", "source_station_name")
 
 
 RECORD = "struct<k:bigint>"

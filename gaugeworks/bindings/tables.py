@@ -109,19 +109,25 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A source resource per supplier: basin from its region, five-year ranges by rule."""
+    """A source resource per region, kind and five-year range, as the suppliers have them."""
     supplier, nation, region = (table(spark, sf_dir, t) for t in ("supplier", "nation", "region"))
     start = (1990 + 5 * (F.col("s_suppkey") % 8)).cast("int")
     return (
         supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
         .join(region, nation.n_regionkey == region.r_regionkey)
-        .select(
+        .groupBy(
             F.lower("r_name").alias("basin"),
-            F.when(F.col("s_suppkey") % 2 == 0, "manual").otherwise("telemetry").alias("kind"),
-            F.concat(F.lit("("), start, F.lit(" - "), start + 4, F.lit(")")).alias("time_range"),
-            F.col("s_name").alias("resource_id"),
+            F.when(F.col("s_suppkey") % 3 == 0, "manual").otherwise("telemetry").alias("kind"),
             start.alias("start_year"),
-            (start + 4).alias("end_year"),
+        )
+        .agg(F.min("s_name").alias("resource_id"))
+        .select(
+            "basin",
+            "kind",
+            F.format_string("(%d - %d)", "start_year", F.col("start_year") + 4).alias("time_range"),
+            "resource_id",
+            "start_year",
+            (F.col("start_year") + 4).alias("end_year"),
         )
     )
 
@@ -181,12 +187,12 @@ USER_CATALOGUE_SQL = """user_catalogue AS (
          c_nationkey * CAST(1.5 AS DOUBLE) AS latitude, c_nationkey * CAST(2.5 AS DOUBLE) AS longitude
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
 MANIFEST_SQL = """manifest AS (
-  SELECT lower(r_name) AS basin,
-         CASE WHEN s_suppkey % 2 = 0 THEN 'manual' ELSE 'telemetry' END AS kind,
+  SELECT lower(r_name) AS basin, CASE WHEN s_suppkey % 3 = 0 THEN 'manual' ELSE 'telemetry' END AS kind,
          '(' || (1990 + 5 * (s_suppkey % 8)) || ' - ' || (1994 + 5 * (s_suppkey % 8)) || ')' AS time_range,
-         s_name AS resource_id,
+         min(s_name) AS resource_id,
          1990 + 5 * (s_suppkey % 8) AS start_year, 1994 + 5 * (s_suppkey % 8) AS end_year
-  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+  GROUP BY 1, 2, 3, 5, 6)"""
 RAW_SQL = """raw AS (
   SELECT event_id, '  ' || upper(event_type) || ' ' AS station_name,
          CASE WHEN event_id % 97 = 0 THEN 'not a date' ELSE strftime(ts, '%d-%m-%Y %H:%M') END AS time_text,

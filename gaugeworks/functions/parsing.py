@@ -65,11 +65,6 @@ def _day_first(text: Column, mark: str) -> Column:
     )
 
 
-def looks_like_date(c: Column) -> Column:
-    text = F.trim(c)
-    return text.rlike(ISO_DATE) | text.rlike(DAY_FIRST_DATE) | text.rlike(DAY_FIRST_SLASH)
-
-
 def to_day(c: Column, dtype: str = "string") -> Column:
     """Calendar day or NULL."""
     if dtype != "string":

@@ -122,9 +122,8 @@ def infer_text_types(df: DataFrame) -> dict[str, str]:
     checks = []
     for i, name in enumerate(texts):
         c = named(name)
-        as_day = F.when(parsing.looks_like_date(c), parsing.to_day(c))
         checks += [
-            F.bool_and(F.when(c.isNotNull(), as_day.isNotNull())).alias(f"day{i}"),
+            F.bool_and(F.when(c.isNotNull(), parsing.to_day(c).isNotNull())).alias(f"day{i}"),
             F.bool_and(F.when(c.isNotNull(), parsing.to_double(c).isNotNull())).alias(f"number{i}"),
         ]
     verdict = df.agg(*checks).first()

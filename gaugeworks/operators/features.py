@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from gaugeworks.catalogue import KINDS
 from gaugeworks.functions.seasonal import seasonal_encodings
 from gaugeworks.operators.blocks import BLOCK, KEY, block_window, hour_timestamp, own_rows, with_halo, with_positions
+from gaugeworks.session import cut_lineage
 
 # --- Fixed values: feature definitions -------------------------------------
 LAGS = [1, 2, 3, 6, 12, 24, 48, 168]
@@ -21,6 +22,7 @@ MIN_SERIES_HOURS = 216
 MAX_JUNK_SHARE = 0.05
 HOLDOUT_SHARE = 0.1
 # ---------------------------------------------------------------------------
+RANK_LIMIT = 1_000_000
 CATEGORIES = ["station_code", "basin_name", "kind"]
 
 
@@ -79,10 +81,19 @@ def series_features(placed: DataFrame, size: int = BLOCK) -> DataFrame:
     return df.withColumns(seasonal_encodings(F.col("timestamp")))
 
 
-def _codes(values: DataFrame, column: str) -> DataFrame:
-    # the catalogue has one row per station; ranking it needs no partitioning
-    order = W.orderBy(column)
-    return values.select(column).distinct().withColumn(f"{column}_id", (F.dense_rank().over(order) - 1).cast("int"))
+def _codes(values: DataFrame, column: str, limit: int = RANK_LIMIT) -> DataFrame:
+    """Position of each distinct value among the sorted ones, from 0."""
+    distinct, code = values.select(column).distinct(), f"{column}_id"
+    if distinct.limit(limit + 1).count() <= limit:
+        return distinct.withColumn(code, (F.row_number().over(W.orderBy(column)) - 1).cast("int"))
+    # more values than one task should sort: range partitions in order, each
+    # row numbered in its own; written down so that both readers see one split
+    ranged = cut_lineage(distinct.orderBy(column).withColumn("mark", F.monotonically_increasing_id()))
+    ranged = ranged.withColumns({"part": F.shiftright("mark", 33), "row": F.col("mark").bitwiseAND((1 << 33) - 1)})
+    parts = ranged.groupBy("part").agg(F.count("*").alias("rows"))
+    earlier = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = parts.select("part", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("rows_before"))
+    return ranged.join(offsets, "part").select(column, (F.col("rows_before") + F.col("row")).cast("int").alias(code))
 
 
 def category_codes(catalogue: DataFrame) -> DataFrame:

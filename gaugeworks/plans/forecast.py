@@ -32,6 +32,7 @@ BAND_PROBS = [0.1, 0.9]
 BAND_MIN_ROWS = 100
 MIN_CLEAN_HOURS = 170
 # ---------------------------------------------------------------------------
+STATIONS_AT_ONCE = 512
 STATE_HOURS = max(*LAGS, *[n for n, _ in ROLLS], *DIFFS) + 1
 
 
@@ -182,17 +183,20 @@ def recursive_forecast(model: GBTRegressionModel, states: DataFrame, horizon: in
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if not len(batch):
-                continue
-            levels = np.stack(batch["levels"].to_numpy())
-            categories = batch[codes].to_numpy(dtype="float64")
-            hour = batch["last_hour"].to_numpy()
-            means = []
-            for step in range(steps):
-                x = np.hstack([categories, _last_row_features(levels, hour + step)])
-                means.append(_predict(trees, x, depth))
-                levels = np.column_stack([levels[:, 1:], means[-1]])
-            yield pd.DataFrame({KEY: batch[KEY], "means": list(np.column_stack(means))})
+            # bounds the (tree, station) work arrays
+            for first in range(0, len(batch), STATIONS_AT_ONCE):
+                yield extend(batch.iloc[first : first + STATIONS_AT_ONCE])
+
+    def extend(part: pd.DataFrame) -> pd.DataFrame:
+        levels = np.stack(part["levels"].to_numpy())
+        categories = part[codes].to_numpy(dtype="float64")
+        hour = part["last_hour"].to_numpy()
+        means = []
+        for step in range(steps):
+            x = np.hstack([categories, _last_row_features(levels, hour + step)])
+            means.append(_predict(trees, x, depth))
+            levels = np.column_stack([levels[:, 1:], means[-1]])
+        return pd.DataFrame({KEY: part[KEY].to_numpy(), "means": list(np.column_stack(means))})
 
     paths = states.select(KEY, "last_hour", "levels", *codes).mapInPandas(run, f"{KEY} string, means array<double>")
     kept = states.select(KEY, "last_hour", F.element_at("levels", -1).alias("last_level"), "low_offset", "high_offset")

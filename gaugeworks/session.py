@@ -23,16 +23,15 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names; a scratch folder only on local masters."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder, current = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.getCheckpointDir()
+    if current and (not folder or folder.rstrip("/") in current):
+        return current
     if not folder:
-        current = spark.sparkContext.getCheckpointDir()
-        if current:
-            return current
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         folder = tempfile.mkdtemp(prefix="gaugeworks-checkpoint-")
     spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return spark.sparkContext.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

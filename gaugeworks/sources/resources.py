@@ -42,15 +42,10 @@ def resources_in_window(manifest: DataFrame, since: datetime, end: datetime) ->
 
 
 def resource_stations(manifest: DataFrame, catalogue: DataFrame) -> DataFrame:
-    """Station names to ask each resource for, sorted; empty means unfiltered."""
-    names = (
-        catalogue.groupBy(F.lower("basin_name").alias("basin_key"))
-        .agg(F.array_sort(F.collect_set("source_station_name")).alias("station_names"))
-    )
-    empty = F.array().cast("array<string>")
-    return (
-        manifest.withColumn("basin_key", F.lower("basin"))
-        .join(names, "basin_key", "left")
-        .withColumn("station_names", F.coalesce("station_names", empty))
-        .drop("basin_key")
-    )
+    """Station names to ask each resource for, one row each.
+
+    A resource of a basin without stations keeps one row with a NULL name: it is
+    read unfiltered. Rows, not lists, so that a basin may hold any number.
+    """
+    names = catalogue.select(F.lower("basin_name").alias("basin_key"), "source_station_name").distinct()
+    return manifest.withColumn("basin_key", F.lower("basin")).join(names, "basin_key", "left").drop("basin_key")

@@ -61,6 +61,13 @@ def test_category_codes(spark, catalogue):
     assert coded == {"CAVMSI": 0, "NOPE": -1}
 
 
+def test_codes_beyond_the_rank_limit(spark):
+    values = spark.range(500).select(F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    small = {r[0]: r[1] for r in features._codes(values, "v").collect()}
+    large = {r[0]: r[1] for r in features._codes(values, "v", limit=100).collect()}
+    assert large == small == {v: i for i, v in enumerate(sorted(small))}
+
+
 def test_first_catalogue_entry_wins_and_aliases_count(spark):
     cat = make_catalogue(
         spark,
@@ -122,8 +129,8 @@ def test_resources(spark, catalogue):
     live = resources.resources_in_window(manifest, datetime(2026, 1, 1), datetime(2026, 2, 1))
     assert {r["start_year"] for r in live.collect()} == {2026}
     asked = resources.resource_stations(manifest.filter("start_year = 2026"), catalogue.filter("basin_name <> 'Krishna'"))
-    names = {r["basin"]: r["station_names"] for r in asked.collect()}
-    assert names["Godavari"] == ["Bhadrachalam", "Jaikwadi Dam"] and names["Krishna"] == []
+    names = sorted((r["source_station_name"] or "") for r in asked.collect() if r["basin"] in ("Godavari", "Krishna"))
+    assert names == ["", "Bhadrachalam", "Jaikwadi Dam"]
 
 
 def test_catalogue_join_is_broadcast_by_size_only(spark, catalogue):
