@@ -16,6 +16,7 @@ from gaugeworks.plans import forecast as fc
 from gaugeworks.session import cut_lineage
 
 # --- SQL of the cleaning steps ----------------------------------------------
+LEVEL = t.on_grid("level", "level")
 HOURLY_SQL = """dedup AS (
   SELECT station_code, "timestamp", arg_max(water_level, event_id) AS water_level FROM readings
   WHERE water_level IS NOT NULL GROUP BY 1, 2),
@@ -108,7 +109,8 @@ def dedup_ts(spark, sf_dir):
 
 @query(
     "hourly_mean",
-    t.with_ctes(t.READINGS_SQL, HOURLY_SQL, select="SELECT station_code, hour, round(level, 6) AS level FROM hourly"),
+    t.with_ctes(t.READINGS_SQL, HOURLY_SQL, select="SELECT station_code, hour, " + LEVEL + " FROM hourly"),
+    binary=True,
 )
 def hourly_mean(spark, sf_dir):
     return _hourly(spark, sf_dir)
@@ -117,8 +119,9 @@ def hourly_mean(spark, sf_dir):
 @query(
     "hourly_grid",
     t.with_ctes(
-        t.READINGS_SQL, HOURLY_SQL, GRID_SQL, select="SELECT station_code, hour, round(level, 6) AS level FROM grid"
+        t.READINGS_SQL, HOURLY_SQL, GRID_SQL, select="SELECT station_code, hour, " + LEVEL + " FROM grid"
     ),
+    binary=True,
 )
 def hourly_grid(spark, sf_dir):
     return sr.hourly_grid(_hourly(spark, sf_dir)).select(KEY, "hour", "level")
@@ -131,8 +134,9 @@ def hourly_grid(spark, sf_dir):
         HOURLY_SQL,
         GRID_SQL,
         FENCE_SQL,
-        select="SELECT station_code, hour, round(level, 6) AS level FROM fence WHERE level IS NOT NULL",
+        select="SELECT station_code, hour, " + LEVEL + " FROM fence WHERE level IS NOT NULL",
     ),
+    binary=True,
 )
 def mad_fence(spark, sf_dir):
     return sr.mad_fence(_hourly(spark, sf_dir))
@@ -178,8 +182,9 @@ def band_clip(spark, sf_dir):
         BANDS_SQL,
         BANDED_SQL,
         MASK_SQL,
-        select="SELECT station_code, hour, round(level, 6) AS level, junk FROM masked",
+        select="SELECT station_code, hour, " + LEVEL + ", junk FROM masked",
     ),
+    binary=True,
 )
 def junk_mask(spark, sf_dir):
     grid = sr.hourly_grid(_hourly(spark, sf_dir)).join(_bands(spark), KEY, "left")
@@ -194,8 +199,9 @@ def junk_mask(spark, sf_dir):
         HOURLY_SQL,
         GRID_SQL,
         fill_sql("grid", "filled"),
-        select="SELECT station_code, hour, filled, round(level, 6) AS level FROM filled",
+        select="SELECT station_code, hour, filled, " + LEVEL + " FROM filled",
     ),
+    binary=True,
 )
 def interpolate(spark, sf_dir):
     return sr.interpolate(_hourly(spark, sf_dir))
@@ -203,7 +209,8 @@ def interpolate(spark, sf_dir):
 
 @query(
     "prepare_series",
-    t.with_ctes(*SERIES_PARTS, select="SELECT station_code, hour, round(level, 6) AS level FROM series"),
+    t.with_ctes(*SERIES_PARTS, select="SELECT station_code, hour, " + LEVEL + " FROM series"),
+    binary=True,
 )
 def prepare_series(spark, sf_dir):
     return _series(spark, sf_dir).select(KEY, "hour", "level")
@@ -217,8 +224,9 @@ def prepare_series(spark, sf_dir):
         GRID_SQL,
         FENCE_SQL,
         fill_sql("fence", "filled"),
-        select="SELECT station_code, hour, round(level, 6) AS level FROM filled",
+        select="SELECT station_code, hour, " + LEVEL + " FROM filled",
     ),
+    binary=True,
 )
 def prepare_series_unbanded(spark, sf_dir):
     return sr.prepare_series(t.readings(spark, sf_dir), "event_id")
@@ -253,8 +261,9 @@ def supplier_readings(spark, sf_dir):
            FROM dedup GROUP BY 1, 2)""",
         GRID_SQL,
         FENCE_SQL,
-        select="SELECT station_code, hour, round(level, 6) AS level FROM fence WHERE level IS NOT NULL",
+        select="SELECT station_code, hour, " + LEVEL + " FROM fence WHERE level IS NOT NULL",
     ),
+    binary=True,
 )
 def supplier_hours(spark, sf_dir):
     """Sparse many-year series: trailing windows that hold few readings."""
@@ -310,8 +319,8 @@ CODES_SQL = """codes AS (SELECT station_code, dense_rank() OVER (ORDER BY statio
   CASE kind WHEN 'manual' THEN 0 WHEN 'telemetry' THEN 1 ELSE -1 END AS kind_id FROM catalogue)"""
 
 
-def rounded(names, digits=6):
-    return ", ".join(f"round({n}, {digits}) AS {n}" for n in names)
+def rounded(names):
+    return ", ".join(t.on_grid(n, n) for n in names)
 
 
 def _stepped(spark, sf_dir):
@@ -332,6 +341,7 @@ def _feature_query(name, names):
     @query(
         name,
         t.with_ctes(*STEPPED_PARTS, FEATURE_SQL, select=f"SELECT station_code, hour, {rounded(names)} FROM seasonal"),
+        binary=True,
     )
     def build(spark, sf_dir):
         return _features(spark, sf_dir).select(KEY, "hour", *names)
@@ -404,6 +414,7 @@ TRAIN_SQL = """train AS (SELECT s.*, c.station_code_id, c.basin_name_id, c.kind_
         + rounded(SEASONAL_COLUMNS + LAG_COLUMNS + ROLL_COLUMNS + DIFF_COLUMNS + ["target"])
         + " FROM train",
     ),
+    binary=True,
 )
 def training_frame(spark, sf_dir):
     return _training(spark, sf_dir).select(KEY, "hour", "is_holdout", *fx.model_inputs(), "target")
@@ -478,6 +489,7 @@ def hours_to_threshold(spark, sf_dir):
         + rounded(["last_level", "peak", "risk_score", "proximity", "crossing", "surge"])
         + " FROM risk",
     ),
+    binary=True,
 )
 def risk_score(spark, sf_dir):
     return _risk(spark, sf_dir)
@@ -532,11 +544,12 @@ def forecast_axis(spark, sf_dir):
     t.with_ctes(
         *RISK_PARTS,
         """fan AS (SELECT *, mean AS median, mean - 5 + step % 10 AS low, mean + 3 - step % 7 AS high FROM pseudo)""",
-        select="""SELECT f.station_code, step, round(mean + off, 6) AS mean, round(least(low, median) + off, 6) AS low,
-          round(greatest(high, median) + off, 6) AS high, round(last_level, 6) AS last_level
+        select="""SELECT f.station_code, step, round((mean + off) * 1048576) / 1048576 AS mean, round((least(low, median) + off) * 1048576) / 1048576 AS low,
+          round((greatest(high, median) + off) * 1048576) / 1048576 AS high, round((last_level) * 1048576) / 1048576 AS last_level
           FROM fan f JOIN (SELECT station_code, last_level - median AS off FROM fan WHERE step = 1) o
             ON o.station_code = f.station_code""",
     ),
+    binary=True,
 )
 def fan_repair(spark, sf_dir):
     mean, step = F.col("mean"), F.col("step")
@@ -550,9 +563,10 @@ def fan_repair(spark, sf_dir):
     "residual_fan",
     t.with_ctes(
         *RISK_PARTS,
-        select="""SELECT station_code, step, round(least(mean - 2 + step % 4, mean), 6) AS low,
-                  round(greatest(mean + 2 - step % 5, mean), 6) AS high FROM pseudo""",
+        select="""SELECT station_code, step, round((least(mean - 2 + step % 4, mean)) * 1048576) / 1048576 AS low,
+                  round((greatest(mean + 2 - step % 5, mean)) * 1048576) / 1048576 AS high FROM pseudo""",
     ),
+    binary=True,
 )
 def residual_fan(spark, sf_dir):
     low, high = rk.residual_fan(F.col("mean"), F.col("step") % 4 - 2.0, 2.0 - F.col("step") % 5)
@@ -563,13 +577,14 @@ def residual_fan(spark, sf_dir):
     "fan_table",
     t.with_ctes(
         *RISK_PARTS,
-        select="""SELECT x.station_code, "timestamp", round(observed, 6) AS observed, round(mean, 6) AS mean,
-          round(low, 6) AS low, round(high, 6) AS high, warning_level, danger_level, high_flood_level FROM (
+        select="""SELECT x.station_code, "timestamp", round((observed) * 1048576) / 1048576 AS observed, round((mean) * 1048576) / 1048576 AS mean,
+          round((low) * 1048576) / 1048576 AS low, round((high) * 1048576) / 1048576 AS high, warning_level, danger_level, high_flood_level FROM (
             SELECT station_code, make_timestamp(hour * 3600000000) AS "timestamp", level AS observed, NULL AS mean,
                    NULL AS low, NULL AS high FROM pseudo_rows WHERE back <= 336
             UNION ALL SELECT station_code, make_timestamp(hour * 3600000000), NULL, mean, mean - 1, mean + 1 FROM pseudo) x
           LEFT JOIN catalogue c ON c.station_code = x.station_code""",
     ),
+    binary=True,
 )
 def fan_table(spark, sf_dir):
     history = sr.as_readings(_series(spark, sf_dir).select(KEY, "hour", "level"))
@@ -588,8 +603,9 @@ def fan_table(spark, sf_dir):
         FEATURE_SQL,
         CODES_SQL,
         TRAIN_SQL,
-        select="SELECT round(avg(abs(lag_1 - target)), 6) AS mae, count(*) AS rows FROM train WHERE is_holdout",
+        select="SELECT round((avg(abs(lag_1 - target))) * 1048576) / 1048576 AS mae, count(*) AS rows FROM train WHERE is_holdout",
     ),
+    binary=True,
 )
 def mae(spark, sf_dir):
     rows = _training(spark, sf_dir).filter("is_holdout").withColumn("prediction", F.col("lag_1"))

@@ -21,6 +21,9 @@ STATIONS = [
     ("signup", "Gauge at Signup", "Signup", "South", "manual", 10.0, 15.0, 20.0, 13.5, 73.25),
 ]
 DIGITS = 6
+# means of decimal levels can lie exactly between two decimals, which engines
+# round either way, but never between two steps of a binary grid
+GRID = 2.0**20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,8 +31,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def level_with_dropouts() -> Column:
-    """Event value in steps of 1/64 (sums are exact in both engines), every 50th missing."""
-    return F.when(F.col("event_id") % 50 != 0, F.round(F.col("value") * 64) / 64)
+    """Event value, every 50th missing."""
+    return F.when(F.col("event_id") % 50 != 0, F.col("value"))
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,13 +135,13 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tidy(df: DataFrame, digits: int = DIGITS) -> DataFrame:
+def tidy(df: DataFrame, binary: bool = False) -> DataFrame:
     """Comparable output: rounded doubles, 64-bit integers, zone-free timestamps."""
     columns = []
     for field in df.schema:
         c = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DoubleType):
-            c = F.round(c, digits)
+            c = F.round(c * GRID) / GRID if binary else F.round(c, DIGITS)
         elif isinstance(field.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
         elif isinstance(field.dataType, T.TimestampType):
@@ -148,6 +151,10 @@ def tidy(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 
 
 # --- the same bindings as SQL common table expressions ----------------------
+def on_grid(expression: str, name: str) -> str:
+    return f"round(({expression}) * {GRID:.0f}) / {GRID:.0f} AS {name}"
+
+
 def with_ctes(*parts: str, select: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n" + select
 
@@ -159,7 +166,7 @@ def _values(rows: list[tuple]) -> str:
     return ", ".join("(" + ", ".join(literal(v) for v in row) + ")" for row in rows)
 
 
-LEVEL_SQL = "CASE WHEN event_id % 50 <> 0 THEN round(value * 64) / 64 END"
+LEVEL_SQL = "CASE WHEN event_id % 50 <> 0 THEN value END"
 READINGS_SQL = f"""readings AS (
   SELECT event_id, event_type AS station_code, ts AS "timestamp", {LEVEL_SQL} AS water_level FROM events)"""
 USER_READINGS_SQL = f"""user_readings AS (
