@@ -101,7 +101,11 @@ def without_model(readings: DataFrame, trained: DataFrame) -> DataFrame:
 
 def station_counts(readings: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Record count for every catalogue station, 0 when absent."""
-    counts = readings.groupBy("station_code").agg(F.count("*").alias("records"))
+    return counts_for_catalogue(readings.groupBy("station_code").agg(F.count("*").alias("records")), catalogue)
+
+
+def counts_for_catalogue(counts: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """The same from (station_code, records) counted elsewhere."""
     return catalogue.join(counts, "station_code", "left").select(
         "station_code",
         "station_name",

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from gaugeworks.operators.enrich import station_counts
+from gaugeworks.operators.enrich import counts_for_catalogue
 from gaugeworks.schema import READING_COLUMNS
+from gaugeworks.session import cut_lineage
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
@@ -34,15 +35,18 @@ def dataset_metadata(
 ) -> DataFrame:
     """One-row metadata document (A8); texts and the clock are parameters.
 
-    The readings are folded to one row per (station, status) first; everything
-    else works on that fold, on the catalogue or on the manifest.
+    One pass folds the readings to a row per (station, status), which is written
+    down; everything else works on that fold, the catalogue or the manifest.
     """
-    fold = readings.groupBy("station_code", "flood_status").agg(
-        F.count("*").alias("records"), F.min("timestamp").alias("low"), F.max("timestamp").alias("high")
+    fold = cut_lineage(
+        readings.groupBy("station_code", "flood_status").agg(
+            F.count("*").alias("records"), F.min("timestamp").alias("low"), F.max("timestamp").alias("high")
+        )
     )
     mix = fold.filter(F.col("flood_status").isNotNull()).groupBy("flood_status").agg(F.sum("records").alias("records"))
     entries = F.array_sort(F.collect_list(F.struct("flood_status", "records")))
-    stations = station_counts(readings, catalogue)
+    counts = fold.groupBy("station_code").agg(F.sum("records").alias("records"))
+    stations = counts_for_catalogue(counts, catalogue)
     sources = manifest.select(F.lit(provider).alias("provider"), "basin", "kind", "time_range", "resource_id")
 
     def gathered(table: DataFrame):

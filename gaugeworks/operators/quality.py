@@ -16,9 +16,14 @@ def unpivot(row: DataFrame, names: list[str], key: str, value: str) -> DataFrame
 
 def duplicate_timestamps(df: DataFrame, station: str = "station_code", ts: str = "timestamp") -> DataFrame:
     """Rows in repeated (station, timestamp) groups, all copies counted (A1)."""
+    return _copies(df, station, ts).select(station, "duplicate_rows")
+
+
+def _copies(df: DataFrame, station: str, ts: str) -> DataFrame:
     groups = df.groupBy(station, ts).agg(F.count("*").alias("n"))
     return groups.groupBy(station).agg(
-        F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).cast("bigint").alias("duplicate_rows")
+        F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).cast("bigint").alias("duplicate_rows"),
+        F.sum(F.col("n") - 1).cast("bigint").alias("excess_rows"),
     )
 
 
@@ -90,17 +95,25 @@ def executive_summary(df: DataFrame) -> DataFrame:
 
 
 def validation_report(df: DataFrame) -> DataFrame:
-    """One-row report document (A5) made of A1 to A4."""
-    dup = duplicate_timestamps(df)
-    duplicates = dup.groupBy().agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("station_code", "duplicate_rows")))).alias(
-            "duplicate_timestamps"
+    """One-row report document (A5) made of A1 to A4.
+
+    Three passes over the readings: copies, missing values, station summary.
+    """
+    copies = _copies(df, "station_code", "timestamp").agg(
+        F.struct(
+            F.coalesce(F.sum("excess_rows"), F.lit(0)).cast("bigint").alias("excess"),
+            F.map_from_entries(
+                F.filter(
+                    F.array_sort(F.collect_list(F.struct("station_code", "duplicate_rows"))),
+                    lambda e: e["station_code"].isNotNull(),
+                )
+            ).alias("per_station"),
         )
-    )
-    nulls = null_percentages(df).groupBy().agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("column_name", "null_pct")))).alias("null_percentage")
-    )
-    summary = executive_summary(df).groupBy().agg(
+    ).scalar()
+    nulls = null_percentages(df).agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("column_name", "null_pct"))))
+    ).scalar()
+    summary = executive_summary(df).agg(
         F.array_sort(F.collect_list(F.struct("*"))).alias("summary"),
         F.coalesce(F.sum("records"), F.lit(0)).cast("bigint").alias("total_records"),
         F.count("station_code").alias("stations"),
@@ -108,9 +121,9 @@ def validation_report(df: DataFrame) -> DataFrame:
     return summary.select(
         "total_records",
         "stations",
-        excess_duplicates(df, ["station_code", "timestamp"]).scalar().alias("excess_duplicates"),
-        duplicates.scalar().alias("duplicate_timestamps"),
-        nulls.scalar().alias("null_percentage"),
+        copies["excess"].alias("excess_duplicates"),
+        copies["per_station"].alias("duplicate_timestamps"),
+        nulls.alias("null_percentage"),
         "summary",
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from gaugeworks.functions.levels import flood_status
 from gaugeworks.functions.text import reading_key
@@ -48,6 +48,7 @@ class HourlyRun:
     """What one run produced: the version written and its reports."""
 
     version: str
+    dropped_rows: int
     readings: DataFrame
     absent: DataFrame
     report: DataFrame
@@ -78,7 +79,9 @@ def run_hourly(
     """Water mark, slice, transform, merge, publish and validate."""
     existing = VersionedDataset(spark, root).read()
     since = backfill_from or high_water_mark(existing, default_start).first()["since"]
-    fresh = enrich_readings(cols.drop_untimed(fetch_new(landed, catalogue, since, end, source_zone)), catalogue)
+    untimed = Observation("untimed rows")
+    fetched = fetch_new(landed, catalogue, since, end, source_zone)
+    fresh = enrich_readings(cols.drop_untimed(fetched, report=untimed), catalogue)
     # several actions follow: the deduplicated rows are written once
     merged = cut_lineage(dedup_readings(existing, fresh))
     readings = retain_days(merged, retention_days)
@@ -87,4 +90,4 @@ def run_hourly(
     )
     version = publish_readings(readings, metadata, root)
     published = VersionedDataset(spark, root).read()
-    return HourlyRun(version, published, absent_stations(fresh, catalogue), validation_report(published))
+    return HourlyRun(version, untimed.get["dropped_rows"], published, absent_stations(fresh, catalogue), validation_report(published))

@@ -37,10 +37,15 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_station_partitions(df: DataFrame, path: str, fmt: str = "csv") -> None:
-    """One directory per station; the station column stays in the files."""
-    writer = by_station_and_time(df.withColumn("station", F.col("station_code"))).write.mode("overwrite")
-    writer.option("header", True).option("timestampFormat", ISO_OUT).partitionBy("station").format(fmt).save(path)
+def write_station_partitions(ordered: DataFrame, path: str, fmt: str = "csv") -> None:
+    """One directory per station; the station column stays in the files.
+
+    Takes rows that are range-partitioned by station and time, so each task
+    meets few stations and needs only a local sort.
+    """
+    copied = ordered.withColumn("station", F.col("station_code")).sortWithinPartitions("station", "timestamp")
+    writer = copied.write.mode("overwrite").option("header", True).option("timestampFormat", ISO_OUT)
+    writer.partitionBy("station").format(fmt).save(path)
 
 
 def write_json(document: DataFrame, path: str) -> None:
@@ -90,15 +95,20 @@ class VersionedDataset:
 
 
 def publish_readings(df: DataFrame, metadata: DataFrame, root: str, parquet: bool = True, partition: bool = True) -> str:
-    """Write one whole version (CSV, Parquet, stations, metadata) and switch to it."""
+    """Write one whole version (CSV, Parquet, stations, metadata) and switch to it.
+
+    The rows are shuffled into order once; the other formats read that result.
+    """
     dataset = VersionedDataset(df.sparkSession, root)
     version = dataset.stage()
-    ordered = by_station_and_time(df)
     if parquet:
-        write_parquet(ordered, f"{version}/parquet")
+        write_parquet(by_station_and_time(df), f"{version}/parquet")
+        ordered = df.sparkSession.read.schema(df.schema).parquet(f"{version}/parquet")
+    else:
+        ordered = cut_lineage(by_station_and_time(df))
     write_csv(ordered, f"{version}/csv")
     if partition:
-        write_station_partitions(df, f"{version}/stations")
+        write_station_partitions(ordered, f"{version}/stations")
     write_json(metadata, f"{version}/metadata")
     dataset.publish(version)
     return version

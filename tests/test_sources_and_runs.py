@@ -100,9 +100,10 @@ def test_hourly_run_twice_is_the_same_dataset(spark, tmp_path, catalogue):
         provider="p",
     )
     feed = landed(spark, datetime(2026, 1, 1), 30).union(landed(spark, datetime(2026, 1, 1), 5, "Elsewhere"))
+    feed = feed.union(spark.createDataFrame([("MUSIRI", "soon", "82.1", 1)], RAW))
     first = run_hourly(spark, feed, end=datetime(2026, 1, 1, 20), **args)
     assert first.readings.count() == 21 and {r[0] for r in first.readings.select("station_code").collect()} == {"CAVMSI"}
-    assert first.absent.count() == 6
+    assert first.absent.count() == 6 and first.dropped_rows == 1
     again = run_hourly(spark, feed, end=datetime(2026, 1, 1, 20), **args)
     assert again.readings.count() == 21 and again.version != first.version
     later = run_hourly(spark, feed, end=datetime(2026, 1, 2, 20), **args)
