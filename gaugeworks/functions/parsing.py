@@ -8,6 +8,7 @@ from pyspark.sql import Column, functions as F
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 OFFSET = r"\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*(Z|[+-]\d{2}:?\d{2})$"
 DAY_FIRST = r"^\d{1,2}-\d{1,2}-\d{4} \d{1,2}:\d{2}$"
+DATE_START = r"^\d{1,4}[-/]\d"
 ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}"
 DAY_FIRST_DATE = r"^\d{1,2}-\d{1,2}-\d{4}"
 DAY_FIRST_SLASH = r"^\d{1,2}/\d{1,2}/\d{4}"
@@ -47,13 +48,15 @@ def parse_utc(c: Column, source_zone: str = "UTC", dtype: str = "string") -> Col
         return F.to_utc_timestamp(naive, source_zone)
 
     offset = _iso(F.regexp_replace(text, r"\s*([+-]\d{2}):?(\d{2})$", "$1:$2"))
-    # the provider's own shape first: most rows take one pattern and one parse
-    return (
-        F.when(text.rlike(DAY_FIRST), read(F.try_to_timestamp(text, F.lit("d-M-yyyy H:mm"))))
-        .when(text.rlike(ISO_DATE), F.when(text.rlike(OFFSET), offset).otherwise(read(_iso(text))))
+    others = (
+        F.when(text.rlike(ISO_DATE), F.when(text.rlike(OFFSET), offset).otherwise(read(_iso(text))))
         .when(text.rlike(DAY_FIRST_DATE), read(_day_first(text, "-")))
         .when(text.rlike(DAY_FIRST_SLASH), read(_day_first(text, "/")))
     )
+    # the provider's own shape first: most rows take one pattern and one parse,
+    # and what cannot be a date takes two patterns and none
+    day_first = read(F.try_to_timestamp(text, F.lit("d-M-yyyy H:mm")))
+    return F.when(text.rlike(DAY_FIRST), day_first).otherwise(F.when(text.rlike(DATE_START), others))
 
 
 def _day_first(text: Column, mark: str) -> Column:

@@ -6,7 +6,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from gaugeworks.functions import parsing
 from gaugeworks.operators.columns import canonical, coerce_doubles, with_utc_timestamp
 
 
@@ -62,7 +61,3 @@ def new_rows_only(existing: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Rows of ``new`` whose key is not in ``existing`` (J4); copies inside ``new`` stay."""
     seen = existing.select(key).filter(F.col(key).isNotNull()).distinct()
     return new.join(seen, key, "left_anti")
-
-
-def finite_levels(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.withColumns({c: parsing.finite(F.col(c)) for c in columns})

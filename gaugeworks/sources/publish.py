@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from gaugeworks.operators.merge import dedup_readings, retain_days
+from gaugeworks.operators.metadata import as_json
 from gaugeworks.schema import READINGS
 from gaugeworks.session import cut_lineage
 from gaugeworks.sources.published import path_exists, read_published
@@ -50,7 +51,7 @@ def write_station_partitions(ordered: DataFrame, path: str, fmt: str = "csv") ->
 
 def write_json(document: DataFrame, path: str) -> None:
     """A one-row document as JSON text, UTF-8."""
-    document.select(F.to_json(F.struct("*")).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    as_json(document).coalesce(1).write.mode("overwrite").text(path)
 
 
 class VersionedDataset:
