@@ -23,6 +23,7 @@ MAX_JUNK_SHARE = 0.05
 HOLDOUT_SHARE = 0.1
 # ---------------------------------------------------------------------------
 RANK_LIMIT = 1_000_000
+SLIDING_ROWS = 24
 CATEGORIES = ["station_code", "basin_name", "kind"]
 
 
@@ -48,16 +49,23 @@ def add_lags(df: DataFrame, w, lags: list[int] = LAGS) -> DataFrame:
 
 
 def add_rolls(df: DataFrame, w, rolls: list[tuple[int, str]] = ROLLS) -> DataFrame:
-    """Trailing mean and deviation, NULL until the window is full."""
+    """Trailing mean and deviation, NULL until the window is full.
+
+    A sliding frame adds up its rows again for every row, so long means are
+    differences of one running sum over the block instead.
+    """
     function = {"mean": F.avg, "std": F.stddev_samp}
+    df = df.withColumn("running", F.sum("level").over(w.rowsBetween(W.unboundedPreceding, 0)))
+
+    def roll(n: int, stat: str) -> Column:
+        if stat == "mean" and n > SLIDING_ROWS:
+            before = F.coalesce(F.lag("running", n).over(w), F.lit(0.0))
+            return (F.col("running") - before) / n
+        return function[stat]("level").over(w.rowsBetween(-(n - 1), 0))
+
     return df.withColumns(
-        {
-            f"roll{n}_{stat}": F.when(
-                F.col("position") >= n - 1, function[stat]("level").over(w.rowsBetween(-(n - 1), 0))
-            )
-            for n, stat in rolls
-        }
-    )
+        {f"roll{n}_{stat}": F.when(F.col("position") >= n - 1, roll(n, stat)) for n, stat in rolls}
+    ).drop("running")
 
 
 def add_diffs(df: DataFrame, w, diffs: list[int] = DIFFS) -> DataFrame:
@@ -73,7 +81,7 @@ def add_target(df: DataFrame, w) -> DataFrame:
 def series_features(placed: DataFrame, size: int = BLOCK) -> DataFrame:
     """Lags, rolls, differences, target and seasonal columns of numbered rows."""
     w = block_window("position")
-    back = max(*LAGS, *DIFFS, *[n - 1 for n, _ in ROLLS])
+    back = max(*LAGS, *DIFFS, *[n for n, _ in ROLLS])
     df = with_halo(placed, "position", back, ahead=1, size=size)
     for add in (add_lags, add_rolls, add_diffs, add_target):
         df = add(df, w)
