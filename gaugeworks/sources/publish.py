@@ -161,3 +161,11 @@ def read_days(spark: SparkSession, root: str, retention_days: int = 0) -> DataFr
     if not path_exists(spark, root):
         return spark.createDataFrame([], READINGS)
     return retain_days(spark.read.schema(DAY_SCHEMA).parquet(root).drop("day"), retention_days)
+
+
+def newest_day(spark: SparkSession, root: str) -> DataFrame:
+    """Readings of the day table's last day, which hold its high-water mark."""
+    if not path_exists(spark, root):
+        return spark.createDataFrame([], READINGS)
+    table = spark.read.schema(DAY_SCHEMA).parquet(root)
+    return table.filter(F.col("day") == table.agg(F.max("day")).first()[0]).drop("day")

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from gaugeworks.catalogue import default_manifest
 from gaugeworks.operators import columns as cols
 from gaugeworks.plans import daily
-from gaugeworks.plans.hourly import run_hourly
+from gaugeworks.plans.hourly import refresh_days, run_hourly
 from gaugeworks.schema import HINDI_CATEGORIES, READINGS
-from gaugeworks.sources import payload, publish, published
+from gaugeworks.sources import payload, publish, published, resources
 
 RAW = "Station string, `Data Acquisition Time` string, `River Water Level Telemetry Hourly (meter)` string, SlNo bigint"
 
@@ -117,6 +117,32 @@ def test_hourly_run_twice_is_the_same_dataset(spark, tmp_path, catalogue):
     assert backfill.readings.count() == 30
 
 
+def test_day_table_run_equals_the_full_rewrite(spark, tmp_path, catalogue):
+    feed = landed(spark, datetime(2026, 1, 1), 80)
+    whole = dict(
+        catalogue=catalogue, manifest=default_manifest(spark), root=str(tmp_path / "whole"), retention_days=2,
+        default_start=datetime(2025, 12, 1), descriptors={}, provider="p",
+    )
+    for end in (datetime(2026, 1, 2), datetime(2026, 1, 2), datetime(2026, 1, 4)):
+        full = run_hourly(spark, feed, end=end, **whole).readings
+        days = refresh_days(
+            spark, feed, catalogue, str(tmp_path / "days"), end, datetime(2025, 12, 1), retention_days=2
+        )
+        assert sorted(map(tuple, full.collect()), key=str) == sorted(map(tuple, days.collect()), key=str)
+    assert days.count() == 49
+
+
+def test_selected_resources_prune_partitions(spark, tmp_path):
+    rows = [(b, r, i) for b in ("Godavari", "Krishna") for r in ("(2021 - 2025)", "(2026 - 2030)") for i in range(3)]
+    path = str(tmp_path / "landing")
+    spark.createDataFrame(rows, "basin string, time_range string, v int").write.partitionBy("basin", "time_range").parquet(path)
+    chosen = resources.select_resources(default_manifest(spark), ["krishna"], ["(2026 - 2030)"])
+    df = resources.read_selected(spark.read.parquet(path), chosen)
+    assert df.count() == 3 and {r["basin"] for r in df.collect()} == {"Krishna"}
+    scan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(basin" in scan
+
+
 def test_station_partitions_keep_the_column(spark, tmp_path):
     df = spark.createDataFrame(
         [("A/1", datetime(2026, 1, 1, h), float(h)) for h in (3, 1, 2)] + [("B", datetime(2026, 1, 1), 9.0)],
