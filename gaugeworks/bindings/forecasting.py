@@ -316,7 +316,7 @@ seasonal AS (SELECT *, sin(2 * pi() * extract(hour FROM ts) / 24.0) AS sin_hour,
   sin(2 * pi() * extract(doy FROM ts) / 365.25) AS sin_doy, cos(2 * pi() * extract(doy FROM ts) / 365.25) AS cos_doy FROM feat)"""
 CODES_SQL = """codes AS (SELECT station_code, dense_rank() OVER (ORDER BY station_code) - 1 AS station_code_id,
   dense_rank() OVER (ORDER BY basin_name) - 1 AS basin_name_id,
-  CASE kind WHEN 'manual' THEN 0 WHEN 'telemetry' THEN 1 ELSE -1 END AS kind_id FROM catalogue)"""
+  CAST(CASE kind WHEN 'manual' THEN 0 WHEN 'telemetry' THEN 1 ELSE -1 END AS BIGINT) AS kind_id FROM catalogue)"""
 
 
 def rounded(names):

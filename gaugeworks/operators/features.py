@@ -69,8 +69,9 @@ def add_rolls(df: DataFrame, w, rolls: list[tuple[int, str]] = ROLLS) -> DataFra
 
 
 def add_diffs(df: DataFrame, w, diffs: list[int] = DIFFS) -> DataFrame:
-    """Change against k rows earlier."""
-    return df.withColumns({f"diff_{k}": F.col("level") - F.lag("level", k).over(w) for k in diffs})
+    """Change against k rows earlier (W10), from the lag column where there is one."""
+    earlier = {k: F.col(f"lag_{k}") if f"lag_{k}" in df.columns else F.lag("level", k).over(w) for k in diffs}
+    return df.withColumns({f"diff_{k}": F.col("level") - level for k, level in earlier.items()})
 
 
 def add_target(df: DataFrame, w) -> DataFrame:
