@@ -89,10 +89,12 @@ def with_positions(
     )
     if attributes is not None:
         summary = summary.join(attributes, KEY, "left")
+    # every row has its summary; as a left join it can never broadcast the rows,
+    # whose size Catalyst underestimates after an explode
     number = F.row_number().over(W.partitionBy(KEY, "block").orderBy(hour))
     return (
         blocked.withColumn("number", number)
-        .join(summary, [KEY, "block"])
+        .join(summary, [KEY, "block"], "left")
         .withColumn("position", F.col("rows_before") + F.col("number") - 1)
         .drop("rows_before", "number", "block")
     )

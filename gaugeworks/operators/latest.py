@@ -46,7 +46,7 @@ def look_back(df: DataFrame, days: int) -> DataFrame:
     earliest = cutoffs.agg(F.min("cutoff")).scalar()
     return (
         df.filter(F.col("timestamp") >= earliest)
-        .join(cutoffs, "station_code")
+        .join(cutoffs, "station_code", "left")
         .filter(F.col("timestamp") >= F.col("cutoff"))
         .drop("cutoff")
     )
