@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import exact, mixing, quality
+from gaugeworks.llm import exact, mixing, packing, quality, simhash
 from gaugeworks.llm.registry import query, table
 
 
@@ -70,3 +70,13 @@ def op7(spark, sf_dir):
         (~quality.passes(quality.BASE)).alias("base_failed"),
         quality.passes(quality.STRICT).alias("kept"),
     )
+
+
+@query("op1_pack")
+def op1(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query("op10_simhash_golay")
+def op10(spark, sf_dir):
+    return simhash.near_groups(table(spark, sf_dir, "documents"))
