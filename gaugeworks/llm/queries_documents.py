@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import exact, mixing, packing, quality, simhash
+from gaugeworks.llm import exact, mixing, packing, quality, simhash, spans
 from gaugeworks.llm.registry import query, table
 
 
@@ -80,3 +80,8 @@ def op1(spark, sf_dir):
 @query("op10_simhash_golay")
 def op10(spark, sf_dir):
     return simhash.near_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op3_substring_dedup")
+def op3(spark, sf_dir):
+    return spans.remove_repeats(table(spark, sf_dir, "documents"))
