@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import exact, mixing, packing, quality, simhash, spans
+from gaugeworks.llm import exact, hmm, mixing, packing, quality, simhash, spans
 from gaugeworks.llm.registry import query, table
 
 
@@ -85,3 +85,8 @@ def op10(spark, sf_dir):
 @query("op3_substring_dedup")
 def op3(spark, sf_dir):
     return spans.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query("op9_hmm_scores")
+def op9(spark, sf_dir):
+    return hmm.score(table(spark, sf_dir, "documents"))
