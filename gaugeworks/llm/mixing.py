@@ -14,9 +14,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gaugeworks.llm.ranks import ranked
 from gaugeworks.llm.text import word_count
 from gaugeworks.session import cut_lineage
 
@@ -24,29 +25,6 @@ ROWS_PER_RANGE = 20_000
 WEIGHTS = (3.0, 1.0, 2.0)
 
 
-def ranked(frame: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
-    """``frame`` with its rows numbered from 0 in the given order, without one task for all.
-
-    Rows are range-sorted, counted by partition, and each partition counts on from the sum
-    of those before it; only one number per partition goes to the driver.
-    """
-    part, inside = "_partition", "_inside"
-    spread = cut_lineage(
-        frame.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn(inside, F.monotonically_increasing_id())
-        .withColumn(part, F.spark_partition_id())
-        .withColumn(inside, F.col(inside).bitwiseAND(F.lit((1 << 33) - 1)))
-    )
-    counts = sorted((r[0], r[1]) for r in spread.groupBy(part).count().collect())
-    starts, total = [], 0
-    for number, count in counts:
-        starts.append((number, total))
-        total += count
-    offsets = frame.sparkSession.createDataFrame(starts or [(0, 0)], f"{part} int, _before bigint")
-    return spread.join(offsets, part).withColumn(name, F.col("_before") + F.col(inside)).drop(part, inside, "_before")
-
-
 def source_targets(
     sizes: DataFrame, share: float = 1.5, most: float = 2.0, weights: Sequence[float] = WEIGHTS
 ) -> DataFrame:

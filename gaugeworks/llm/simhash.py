@@ -161,12 +161,15 @@ def fingerprints(texts: pa.Array, seed: int = 42, span: int = 3) -> np.ndarray:
     return out
 
 
-def _print_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in pieces(batches, "text"):
-        kept = [batch.column(i) for i in range(batch.num_columns - 1)]
-        yield pa.RecordBatch.from_arrays(
-            [*kept, pa.array(fingerprints(batch.column("text")).view(np.int64))], [*batch.schema.names[:-1], "print"]
-        )
+def _print_rows(with_text: bool):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text"):
+            text = batch.column("text")
+            prints = pa.array(fingerprints(text).view(np.int64))
+            kept = [text] if with_text else []
+            yield pa.RecordBatch.from_arrays([batch.column("_row"), prints, *kept], ["_row", "print", "text"][: 2 + with_text])
+
+    return run
 
 
 def _key_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,20 +257,24 @@ def near_groups(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
 
     Words of the text with A-Z lower-cased, hashed as 3-word shingles with repeats (a text
     of one or two words is one shingle). Returns one row per document: ``doc_id,
-    fingerprint`` (16 hex digits), ``component_id`` (the smallest doc_id reachable) and the
-    columns named in ``carry``, among them ``text`` if named.
+    fingerprint`` (16 hex digits), ``component_id`` (the smallest doc_id reachable), ``kept``
+    (one row of each component, of that doc_id) and the columns named in ``carry``.
 
     Null or empty text has fingerprint zero and links like any other. Null doc_ids are never
     the smallest unless all of a component are. Repeated rows are rows of one component.
     Empty table: no rows. Further columns of any name are ignored unless carried.
     """
-    carried = [c for c in carry if c != "doc_id"]
+    carried = [c for c in carry if c not in ("doc_id", "text")]
+    with_text = "text" in carry
     row = F.struct("doc_id", *carried)
-    schema = docs.select(row.alias("_row")).schema["_row"].dataType.simpleString()
+    schema = f"_row {docs.select(row.alias('r')).schema['r'].dataType.simpleString()}, print bigint" + ", text string" * with_text
     prints = cut_lineage(
-        docs.select(row.alias("_row"), "text").mapInArrow(_print_rows, f"_row {schema}, print bigint")
+        docs.select(row.alias("_row"), "text")
+        .mapInArrow(_print_rows(with_text), schema)
+        .withColumn("_uid", F.monotonically_increasing_id())
     )
-    distinct = cut_lineage(prints.groupBy("print").agg(F.min("_row.doc_id").alias("_least")))
+    order = F.struct(F.col("_row.doc_id").isNull().alias("none"), F.col("_row.doc_id").alias("doc_id"), F.col("_uid").alias("uid"))
+    distinct = cut_lineage(prints.groupBy("print").agg(F.min(order).alias("_least")))
     keys = distinct.select("print").mapInArrow(_key_rows, "key bigint, print bigint")
     edges = (
         keys.repartition("key").sortWithinPartitions("key").mapInArrow(_bucket_links, "u bigint, v bigint")
@@ -276,11 +283,12 @@ def near_groups(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     labelled = distinct.join(roots, F.col("print") == F.col("node"), "left").select(
         "print", "_least", F.coalesce("root", "print").alias("root")
     )
-    least = labelled.groupBy("root").agg(F.min("_least").alias("component_id"))
-    label = labelled.join(least, "root").select(F.col("print").alias("_print"), "component_id")
+    least = labelled.groupBy("root").agg(F.min("_least").alias("_least"))
+    label = labelled.select("print", "root").join(least, "root").select(F.col("print").alias("_print"), "_least")
     return prints.join(label, F.col("print") == F.col("_print"), "left").select(
         F.col("_row.doc_id").alias("doc_id"),
         F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
-        "component_id",
-        *[F.col(f"_row.{c}").alias(c) for c in carried],
+        F.col("_least.doc_id").alias("component_id"),
+        (F.col("_uid") == F.col("_least.uid")).alias("kept"),
+        *[F.col("text") if c == "text" else F.col(f"_row.{c}").alias(c) for c in carry if c != "doc_id"],
     )
