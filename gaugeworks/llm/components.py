@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gaugeworks.llm.skew import dealt_anew
 from gaugeworks.session import cut_lineage
 
 
@@ -20,10 +21,10 @@ def connected(edges: DataFrame) -> DataFrame:
     before = None
     while True:
         both = held.unionByName(held.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select(dealt_anew("u"), F.least("u", "m").alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.filter("u != v").distinct()
-        lower = large.groupBy("u").agg(F.min("v").alias("m"))
+        lower = large.groupBy("u").agg(F.min("v").alias("m")).select(dealt_anew("u"), "m")
         small = (
             large.join(lower, "u")
             .select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks.llm.batches import offsets_of, pieces, words_of
 from gaugeworks.llm.components import connected
+from gaugeworks.llm.skew import dealt_anew
 from gaugeworks.session import cut_lineage
 
 GENERATOR = 0b101011100011  # x^11 + x^9 + x^7 + x^6 + x^5 + x + 1
@@ -284,7 +285,7 @@ def near_groups(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
         "print", "_least", F.coalesce("root", "print").alias("root")
     )
     least = labelled.groupBy("root").agg(F.min("_least").alias("_least"))
-    label = labelled.select("print", "root").join(least, "root").select(F.col("print").alias("_print"), "_least")
+    label = labelled.select("print", "root").join(least.select(dealt_anew("root"), "_least"), "root").select(F.col("print").alias("_print"), "_least")
     return prints.join(label, F.col("print") == F.col("_print"), "left").select(
         F.col("_row.doc_id").alias("doc_id"),
         F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
