@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.llm.batches import encoded, offsets_of, pieces, ragged, words_of
+from gaugeworks.llm.skew import dealt_anew
 from gaugeworks.session import cut_lineage
 
 MER = 3
@@ -372,5 +373,6 @@ def remove_repeats(docs: DataFrame, span: int = 20, with_text: bool = False, buc
         .groupBy("key", "tie")
         .agg(F.collect_list(F.struct("start", "windows")).alias("runs"))
     )
+    runs = runs.select(dealt_anew("key"), "tie", "runs")
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string" + ", kept_text string" * with_text
     return rows.join(runs, ["key", "tie"], "left").select("doc_id", "text", "runs").mapInArrow(_removed(span, with_text), schema)

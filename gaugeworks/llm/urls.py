@@ -125,7 +125,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[UrlRule] = RULES, tree: TreeRul
         F.count("*").alias("n"), F.count_if(ruled == "block").alias("blocked"), F.count_if(ruled == "allow").alias("allowed")
     )
     shaped = cut_lineage(templates(cut_lineage(paths), tree))
-    judged = judged_templates(shaped, tree).select("host", "template", "purity", "rejected")
+    judged = cut_lineage(judged_templates(shaped, tree).select("host", "template", "purity", "rejected"))
     known = shaped.select("host", "path", "template").join(judged, ["host", "template"])
     return rows.join(cut_lineage(known), ["host", "path"], "left").select(
         "page_id",
