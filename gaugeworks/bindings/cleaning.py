@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
 from gaugeworks.bindings import tables as t
 from gaugeworks.bindings.registry import query
-from gaugeworks.catalogue import audit_catalogue
+from gaugeworks.catalogue import audit_catalogue, default_manifest
 from gaugeworks.functions.levels import flood_alert, flood_status
 from gaugeworks.functions.parsing import to_day
 from gaugeworks.functions.text import clean_name, reading_key
 from gaugeworks.operators import columns as cols
 from gaugeworks.operators.enrich import absent_stations, join_stations, monitored_only, unresolved_names
 from gaugeworks.operators.merge import dedup_readings, retain_days
-from gaugeworks.plans.daily import merge_daily, postprocess, with_daily_key
-from gaugeworks.plans.hourly import enrich_readings, fetch_new, transform_readings
-from gaugeworks.session import cut_lineage
+from gaugeworks.plans.daily import merge_daily, postprocess, run_daily, with_daily_key
+from gaugeworks.plans.hourly import enrich_readings, fetch_new, run_hourly, transform_readings
+from gaugeworks.session import checkpoint_dir, cut_lineage
 from gaugeworks.sources.published import daily_since
 
 
@@ -246,7 +247,7 @@ def daily_cursor(spark, sf_dir):
 
 
 @query(
-    "daily_run",
+    "daily_merge",
     t.with_ctes(
         DAILY_SQL,
         """existing AS (SELECT * FROM daily WHERE record_date <= DATE '1999-06-30'),
@@ -260,7 +261,7 @@ merged AS (SELECT * FROM existing UNION ALL SELECT * EXCLUDE (k) FROM fresh)""",
           validation_status, location_code FROM merged""",
     ),
 )
-def daily_run(spark, sf_dir):
+def daily_merge(spark, sf_dir):
     wanted = ["code_station", "date_obs_elab", "resultat_obs_elab", "libelle_statut", "code_site"]
     landed = provider_daily(spark, sf_dir).select(*wanted)
     existing = cols.to_english(landed.filter(F.col("date_obs_elab") <= "1999-06-30")).withColumn(
@@ -270,6 +271,26 @@ def daily_run(spark, sf_dir):
     return merge_daily(existing, halves, date(1999, 6, 1))
 
 
+@query(
+    "daily_run",
+    t.with_ctes(
+        DAILY_SQL,
+        select="""SELECT station_code, record_date, water_level_mm, coalesce(water_level_mm > 6000, false) AS flood_alert,
+          validation_status, location_code FROM daily""",
+    ),
+)
+def daily_run(spark, sf_dir):
+    """The job on its own table: first landing, a run with nothing due, then the rest in two pages."""
+    wanted = ["code_station", "date_obs_elab", "resultat_obs_elab", "libelle_statut", "code_site"]
+    out = f"{checkpoint_dir(spark)}/daily-{uuid.uuid4().hex}"
+    landed = provider_daily(spark, sf_dir).select(*wanted)
+    halves = [landed.filter(F.col("code_site").endswith("1")), landed.filter(~F.col("code_site").endswith("1"))]
+    run_daily(spark, [landed.filter(F.col("date_obs_elab") <= "1995-06-30")], out, date(1999, 1, 1), {"title": "daily"})
+    for as_of in (date(1995, 7, 1), date(1999, 7, 1)):
+        published = run_daily(spark, halves, out, as_of, {"title": "daily"})
+    return published
+
+
 @query(
     "daily_key",
     t.with_ctes(
@@ -424,7 +445,7 @@ def hourly_transform_sorted(spark, sf_dir):
 
 
 @query(
-    "hourly_run",
+    "hourly_merge",
     t.with_ctes(
         t.RAW_SQL,
         t.CATALOGUE_SQL,
@@ -438,7 +459,7 @@ one AS (SELECT * FROM old_and_new QUALIFY row_number() OVER (PARTITION BY dedup_
           WHERE "timestamp" >= (SELECT max("timestamp") FROM one) - INTERVAL 20 DAY""",
     ),
 )
-def hourly_run(spark, sf_dir):
+def hourly_merge(spark, sf_dir):
     raw, stations = t.raw_readings(spark, sf_dir), t.catalogue(spark)
     published = transform_readings(raw, stations, "Asia/Kolkata").filter(F.col("timestamp") <= "2024-01-12")
     window = (datetime(2024, 1, 10), datetime(2024, 1, 28))
@@ -447,6 +468,29 @@ def hourly_run(spark, sf_dir):
     return retain_days(cut_lineage(merged), 20)
 
 
+@query(
+    "hourly_run",
+    t.with_ctes(
+        t.RAW_SQL,
+        t.CATALOGUE_SQL,
+        t.TRANSFORMED_SQL,
+        """landed AS (SELECT * FROM transformed WHERE basin_name IS NOT NULL
+           AND "timestamp" > TIMESTAMP '2024-01-03' AND "timestamp" <= TIMESTAMP '2024-01-28')""",
+        select=f"""SELECT DISTINCT {t.READING_LIST} FROM landed
+          WHERE "timestamp" >= (SELECT max("timestamp") FROM landed) - INTERVAL 20 DAY""",
+    ),
+)
+def hourly_run(spark, sf_dir):
+    """The job on its own dataset: a run, the same run again with nothing new, a later run."""
+    raw, stations = t.raw_readings(spark, sf_dir), t.catalogue(spark)
+    root = f"{checkpoint_dir(spark)}/hourly-{uuid.uuid4().hex}"
+    for end in (datetime(2024, 1, 15), datetime(2024, 1, 15), datetime(2024, 1, 28)):
+        done = run_hourly(
+            spark, raw, stations, default_manifest(spark), root, end, datetime(2024, 1, 3), {}, "provider", retention_days=20, keep_versions=2
+        )
+    return done.readings
+
+
 @query(
     "catalogue_audit",
     """WITH c AS (SELECT c_custkey, CAST(c_custkey AS VARCHAR) AS code,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from gaugeworks.operators import latest as now
 from gaugeworks.operators import merge, metadata, quality
 from gaugeworks.operators.enrich import station_counts, without_model
 from gaugeworks.operators.risk import history_table
+from gaugeworks.session import checkpoint_dir
 from gaugeworks.sources import payload, published, resources
 
 SINCE, END = datetime(2024, 1, 5), datetime(2024, 1, 20)
@@ -117,19 +119,32 @@ RECORD = "struct<k:bigint>"
 
 @query(
     "payload_explode",
-    """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events WHERE event_id % 5 <> 4""",
+    """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events
+       WHERE (event_id // 200) % 7 IN (0, 1, 2, 3)""",
 )
 def payload_explode(spark, sf_dir):
-    """Each event becomes a payload; by rule its list sits under another key, or under none."""
+    """JSON pages of up to 200 records, one file each; by page the list sits under another key.
+
+    Pages 4 to 6 of every seven have no records: a ``result`` without a list next to a list
+    outside, an empty list in ``result``, and no list at all.
+    """
+    path = f"{checkpoint_dir(spark)}/pages-{uuid.uuid4().hex}"
     record = F.struct("event_id", F.from_json("props", RECORD)["k"].alias("k"))
-    rule = F.col("event_id") % 5
-    one = F.array(record)
-    envelope = t.table(spark, sf_dir, "events").select(
-        F.struct(F.when(rule == 0, one).alias("records"), F.when(rule == 1, one).alias("data")).alias("result"),
-        F.when(rule == 2, one).alias("results"),
-        F.when(rule.isin(0, 3), F.when(rule == 3, one).otherwise(F.array(record, record))).alias("observations"),
+    page = F.floor(F.col("event_id") / 200).alias("page")
+    pages = t.table(spark, sf_dir, "events").groupBy(page).agg(F.collect_list(record).alias("list"))
+    rule, held = F.col("page") % 7, F.col("list")
+
+    def when(*rules: int):
+        return F.when(rule.isin(*rules), held)
+
+    inside = F.struct(
+        when(0).alias("records"), when(1).alias("data"), F.when(rule == 5, F.slice(held, 1, 0)).alias("results"), F.lit(7).alias("total")
+    )
+    envelope = pages.select(
+        F.when(rule.isin(0, 1, 4, 5), inside).alias("result"), when(2).alias("results"), when(3, 0, 4, 5).alias("observations")
     )
-    return payload.payload_records(envelope)
+    envelope.write.option("maxRecordsPerFile", 1).json(path)
+    return payload.payload_records(payload.read_payloads(spark, path)).select("event_id", "k")
 
 
 @query(
@@ -643,7 +658,7 @@ def lookback(spark, sf_dir):
     ),
 )
 def last_n(spark, sf_dir):
-    return now.last_n(t.readings(spark, sf_dir), 10, order=[F.desc("timestamp"), F.desc("event_id")])
+    return now.last_n(t.readings(spark, sf_dir), 10, ties=[F.desc("event_id")])
 
 
 @query(
@@ -656,7 +671,7 @@ def last_n(spark, sf_dir):
 )
 def long_context(spark, sf_dir):
     rows = t.readings(spark, sf_dir).select("event_id", "station_code", "timestamp")
-    return now.last_n(rows, 2048, order=[F.desc("timestamp"), F.desc("event_id")])
+    return now.last_n(rows, 2048, ties=[F.desc("event_id")])
 
 
 @query(

@@ -12,6 +12,7 @@ DATE_START = r"^\d{1,4}[-/]\d"
 ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}"
 DAY_FIRST_DATE = r"^\d{1,2}-\d{1,2}-\d{4}"
 DAY_FIRST_SLASH = r"^\d{1,2}/\d{1,2}/\d{4}"
+YEAR_FIRST_SLASH = r"^\d{4}/\d{1,2}/\d{1,2}"
 # ---------------------------------------------------------------------------
 
 
@@ -36,7 +37,7 @@ def parse_utc(c: Column, source_zone: str = "UTC", dtype: str = "string") -> Col
     """UTC timestamp or NULL.
 
     Row by row: an explicit offset wins; otherwise day-first with dashes, ISO,
-    day-first with slashes, each read in ``source_zone``. The session is UTC.
+    day-first with slashes, year-first with slashes, each read in ``source_zone``. The session is UTC.
     """
     if dtype == "timestamp":
         return c
@@ -52,6 +53,7 @@ def parse_utc(c: Column, source_zone: str = "UTC", dtype: str = "string") -> Col
         F.when(text.rlike(ISO_DATE), F.when(text.rlike(OFFSET), offset).otherwise(read(_iso(text))))
         .when(text.rlike(DAY_FIRST_DATE), read(_day_first(text, "-")))
         .when(text.rlike(DAY_FIRST_SLASH), read(_day_first(text, "/")))
+        .when(text.rlike(YEAR_FIRST_SLASH), read(_iso(F.regexp_replace(text, "/", "-"))))
     )
     # the provider's own shape first: most rows take one pattern and one parse,
     # and what cannot be a date takes two patterns and none

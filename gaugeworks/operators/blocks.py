@@ -11,12 +11,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from gaugeworks.schema import READING_COLUMNS
-
 # with a halo of a few hundred rows still below the 4096 rows that Spark's window
 # operator buffers in memory by default
 BLOCK = 2048
-KEY = READING_COLUMNS[0]
+KEY = "station_code"
 HOUR_SECONDS = 3600
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
@@ -67,13 +66,10 @@ def with_utc_timestamp(df: DataFrame, source_zone: str = "UTC", column: str = "t
 
 
 def drop_untimed(df: DataFrame, column: str = "timestamp", report: Observation | None = None) -> DataFrame:
-    """Rows without a timestamp go (P7), counted as ``dropped_rows`` in an observation.
-
-    The observation also keeps the filter above the parsing, which Catalyst
-    would otherwise evaluate once for the filter and again for the column.
-    """
-    dropped = F.count_if(F.col(column).isNull()).alias("dropped_rows")
-    return df.observe(report or f"untimed-{uuid.uuid4().hex}", dropped).filter(F.col(column).isNotNull())
+    """Rows without a timestamp go (P7), counted as ``dropped_rows`` if a report is asked for."""
+    if report is not None:
+        df = df.observe(report, F.count_if(F.col(column).isNull()).alias("dropped_rows"))
+    return df.filter(F.col(column).isNotNull())
 
 
 def coerce_doubles(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -21,17 +21,17 @@ DIFFS = [1, 24]
 MIN_SERIES_HOURS = 216
 MAX_JUNK_SHARE = 0.05
 HOLDOUT_SHARE = 0.1
+CATEGORIES = ["station_code", "basin_name", "kind"]
+SEASONAL = ["sin_hour", "cos_hour", "sin_doy", "cos_doy"]
 # ---------------------------------------------------------------------------
-RANK_LIMIT = 1_000_000
 SLIDING_ROWS = 24
-CATEGORIES = ["station_code", "basin_name", "kind"]
 
 
 def feature_columns() -> list[str]:
     """The 21 model inputs in model order."""
     return [
         *CATEGORIES,
-        *["sin_hour", "cos_hour", "sin_doy", "cos_doy"],
+        *SEASONAL,
         *[f"lag_{k}" for k in LAGS],
         *[f"roll{w}_{stat}" for w, stat in ROLLS],
         *[f"diff_{k}" for k in DIFFS],
@@ -90,13 +90,13 @@ def series_features(placed: DataFrame, size: int = BLOCK) -> DataFrame:
     return df.withColumns(seasonal_encodings(F.col("timestamp")))
 
 
-def _codes(values: DataFrame, column: str, limit: int = RANK_LIMIT) -> DataFrame:
-    """Position of each distinct value among the sorted ones, from 0."""
+def _codes(values: DataFrame, column: str) -> DataFrame:
+    """Position of each distinct value among the sorted ones, from 0.
+
+    Range partitions in order, each row numbered in its own; written down so
+    that both readers see one split. Only partitions are put in order by one task.
+    """
     distinct, code = values.select(column).distinct(), f"{column}_id"
-    if distinct.limit(limit + 1).count() <= limit:
-        return distinct.withColumn(code, (F.row_number().over(W.orderBy(column)) - 1).cast("int"))
-    # more values than one task should sort: range partitions in order, each
-    # row numbered in its own; written down so that both readers see one split
     ranged = cut_lineage(distinct.orderBy(column).withColumn("mark", F.monotonically_increasing_id()))
     ranged = ranged.withColumns({"part": F.shiftright("mark", 33), "row": F.col("mark").bitwiseAND((1 << 33) - 1)})
     parts = ranged.groupBy("part").agg(F.count("*").alias("rows"))

@@ -8,28 +8,36 @@ from gaugeworks.functions import levels, text
 from gaugeworks.operators.merge import keep_last
 from gaugeworks.schema import NORMAL
 
-# beyond this rank Spark no longer drops rows before the shuffle
-RANK_PUSHDOWN = 1000
-
-
 def latest_reading(df: DataFrame, sequence: str | None = None) -> DataFrame:
     """Newest row per station (W1); a missing timestamp never wins, ties go to the later row."""
     order = [F.desc_nulls_last("timestamp")] + ([F.desc(sequence)] if sequence else [])
     return keep_last(df.filter(F.col("station_code").isNotNull()), ["station_code"], order)
 
 
-def last_n(df: DataFrame, n: int, key: str = "station_code", order: list[Column] | None = None) -> DataFrame:
-    """Last ``n`` rows per station.
+def last_n(
+    df: DataFrame, n: int, key: str = "station_code", time: str = "timestamp", ties: list[Column] | None = None
+) -> DataFrame:
+    """Last ``n`` rows per station (W13, O4); later ``ties`` first on equal times, no time last.
 
-    For large ``n`` the rank is taken per (station, day) first, so that no task
-    sees more of one station than a day's rows and then ``n`` per day.
+    Rows are counted per station and day (of a timestamp, or of an hour number);
+    summed from the newest day on, the counts say which days can hold the last
+    ``n`` rows. Only their rows are ranked, so no task sees more of a station
+    than ``n`` rows and a day.
     """
-    order = order or [F.desc_nulls_last("timestamp")]
-    if n > RANK_PUSHDOWN:
-        day = W.partitionBy(key, F.to_date("timestamp")).orderBy(*order)
-        df = df.withColumn("_rank", F.row_number().over(day)).filter(F.col("_rank") <= n).drop("_rank")
-    rank = F.row_number().over(W.partitionBy(key).orderBy(*order))
-    return df.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
+    stamp = dict(df.dtypes)[time].startswith(("timestamp", "date"))
+    day = F.to_date(time) if stamp else F.floor(F.col(time) / 24)
+    df = df.withColumn("_day", day)
+    newer = W.partitionBy(key).orderBy(F.desc_nulls_last("_day")).rowsBetween(W.unboundedPreceding, -1)
+    days = (
+        df.groupBy(key, "_day")
+        .agg(F.count("*").alias("_rows"))
+        .withColumn("_newer", F.coalesce(F.sum("_rows").over(newer), F.lit(0)))
+        .filter(F.col("_newer") < n)
+        .select(F.col(key).alias("_key"), F.col("_day").alias("_kept"))
+    )
+    near = df.join(days, F.col(key).eqNullSafe(F.col("_key")) & F.col("_day").eqNullSafe(F.col("_kept")))
+    rank = F.row_number().over(W.partitionBy(key).orderBy(F.desc_nulls_last(time), *(ties or [])))
+    return near.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank", "_day", "_key", "_kept")
 
 
 def look_back(df: DataFrame, days: int) -> DataFrame:

@@ -4,65 +4,41 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
+from gaugeworks.functions.parsing import finite
 from gaugeworks.session import cut_lineage
 
-GATHER_LIMIT = 200_000
-SPLITS = 64
 
+def exact_quantiles(df: DataFrame, column: str, probs: list[float]) -> list:
+    """Linear-interpolated quantiles, as many as ``probs``; NULL, NaN and infinities do not count.
 
-def exact_quantiles(df: DataFrame, column: str, probs: list[float], gather_limit: int = GATHER_LIMIT) -> list:
-    """Linear-interpolated quantiles, as many as ``probs``; NULLs do not count.
-
-    Values are counted once (map-side combined, written to the checkpoint
-    folder). Up to ``gather_limit`` distinct values one weighted percentile does.
-    Beyond, while a wanted rank lies among more of them, 64 splitters from a
-    mergeable sketch narrow the range around it; the few left are read in order.
+    Values are counted once (map-side combined) and range-sorted. The counts of
+    the partitions, one number each, tell which partition holds a wanted rank;
+    only those partitions are summed up, and only the wanted values leave Spark.
     """
-    counts = cut_lineage(
-        df.filter(F.col(column).isNotNull())
-        .groupBy(F.col(column).cast("double").alias("v"))
+    ordered = cut_lineage(
+        df.select(finite(F.col(column).cast("double")).alias("v"))
+        .filter("v IS NOT NULL")
+        .groupBy("v")
         .agg(F.count("*").alias("n"))
+        .repartitionByRange("v")
+        .withColumn("part", F.spark_partition_id())
     )
-    total, distinct = counts.agg(F.sum("n"), F.count("*")).first()
+    starts, total = {}, 0
+    for part, rows in sorted(map(tuple, ordered.groupBy("part").agg(F.sum("n")).collect())):
+        starts[part] = total
+        total += rows
     if not total:
         return [None] * len(probs)
-    if distinct <= gather_limit:
-        return list(counts.agg(F.percentile("v", probs, F.col("n"))).first()[0])
     spots = [p * (total - 1) for p in probs]
-    value_at: dict[int, float] = {}
-    for rank in sorted({r for s in spots for r in (math.floor(s), math.ceil(s))}):
-        if rank not in value_at:
-            value_at.update(_around(counts, distinct, rank, gather_limit))
-    result = []
-    for s in spots:
-        low, high = value_at[math.floor(s)], value_at[math.ceil(s)]
-        result.append(low + (high - low) * (s - math.floor(s)))
-    return result
-
-
-def _around(counts: DataFrame, distinct: int, rank: int, gather_limit: int) -> dict[int, float]:
-    low, high = float("-inf"), float("inf")
-    while distinct > gather_limit:
-        inside = counts.filter(F.col("v").between(F.lit(low), F.lit(high)))
-        steps = [i / SPLITS for i in range(SPLITS + 1)]
-        splitters = sorted(set(inside.agg(F.percentile_approx("v", steps)).first()[0]))
-        below = counts.agg(
-            *[F.coalesce(F.sum(F.when(F.col("v") < F.lit(s), F.col("n"))), F.lit(0)) for s in splitters]
-        ).first()
-        for s, rows_below in zip(splitters, below):
-            if rows_below <= rank:
-                low = max(low, s)
-            else:
-                high = min(high, math.nextafter(s, -math.inf))
-        distinct = counts.filter(F.col("v").between(F.lit(low), F.lit(high))).count()
-    seen = counts.filter(F.col("v") < F.lit(low)).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    found = {}
-    for value, n in counts.filter(F.col("v").between(F.lit(low), F.lit(high))).orderBy("v").collect():
-        if seen <= rank < seen + n:
-            found[rank] = value
-        if seen <= rank + 1 < seen + n:
-            found[rank + 1] = value
-        seen += n
-    return found
+    ranks = sorted({r for s in spots for r in (math.floor(s), math.ceil(s))})
+    held = {max((p for p in starts if starts[p] <= r), key=starts.get) for r in ranks}
+    upto = F.sum("n").over(W.partitionBy("part").orderBy("v"))
+    begin = F.element_at(F.create_map(*[F.lit(x) for p in held for x in (p, starts[p])]), F.col("part"))
+    placed = ordered.filter(F.col("part").isin(*held)).withColumn("end", begin + upto)
+    wanted = F.exists(F.array(*[F.lit(r) for r in ranks]), lambda r: (r < F.col("end")) & (r >= F.col("end") - F.col("n")))
+    rows = placed.filter(wanted).select("v", F.col("end") - F.col("n"), "end").collect()
+    value = {r: v for r in ranks for v, first, end in rows if first <= r < end}
+    low = [value[math.floor(s)] for s in spots]
+    return [a + (value[math.ceil(s)] - a) * (s - math.floor(s)) for a, s in zip(low, spots)]

@@ -1,7 +1,7 @@
 """Forecast post-processing: time axis, fan, thresholds and flood risk.
 
-A forecast is a long table (station_code, step, mean, ...), steps 1..horizon with
-a horizon of at most 256, so collecting one station's steps is bounded.
+A forecast is a long table (station_code, step, mean, ...) with steps 1..horizon;
+one station's steps are as many as the horizon the caller asks for.
 """
 
 from __future__ import annotations
@@ -23,13 +23,14 @@ SHORT_SURGE_FACTOR = 12
 # ---------------------------------------------------------------------------
 
 
-def clamp_horizon(hours: int) -> int:
-    return max(1, min(int(hours), MAX_HORIZON))
+def bounded_horizon(hours: int, max_horizon: int) -> int:
+    """Steps to forecast: at least one, at most ``max_horizon``."""
+    return max(1, min(int(hours), max_horizon))
 
 
-def forecast_axis(last: DataFrame, horizon: int, ts: str = "timestamp") -> DataFrame:
-    """Steps 1..horizon with their times, one hour apart from the last reading."""
-    steps = F.sequence(F.lit(1), F.lit(clamp_horizon(horizon)))
+def forecast_axis(last: DataFrame, horizon: int, ts: str = "timestamp", max_horizon: int = MAX_HORIZON) -> DataFrame:
+    """Steps 1..horizon, at most ``max_horizon``, one hour apart from the last reading."""
+    steps = F.sequence(F.lit(1), F.lit(bounded_horizon(horizon, max_horizon)))
     return last.withColumn("step", F.explode(steps)).withColumn(
         "forecast_ts", F.col(ts) + F.make_dt_interval(hours=F.col("step"))
     )
@@ -79,7 +80,8 @@ def risk_scores(forecast: DataFrame, hours_between: int = 1) -> DataFrame:
     )
     last, danger, path = F.col("last_level"), F.col("danger_level"), F.col("path")
     steps = F.size(path)
-    rises = F.zip_with(F.slice(path, 2, MAX_HORIZON), F.slice(path, 1, F.greatest(steps - 1, F.lit(0))), lambda b, a: b - a)
+    inner = F.greatest(steps - 1, F.lit(0))
+    rises = F.zip_with(F.slice(path, F.lit(2), inner), F.slice(path, F.lit(1), inner), lambda b, a: b - a)
     scored = folded.withColumns(
         {
             "warning_range": F.greatest(F.lit(0.5), 0.4 * F.abs(danger - last)),

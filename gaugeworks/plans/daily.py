@@ -13,9 +13,12 @@ from gaugeworks.operators import columns as cols
 from gaugeworks.operators.merge import new_rows_only, union_tables
 from gaugeworks.operators.metadata import daily_metadata
 from gaugeworks.schema import FLOOD_ALERT_MM, FRENCH_CATEGORIES
-from gaugeworks.sources.publish import write_csv, write_json
+from gaugeworks.sources.publish import VersionedDataset, write_csv, write_json, write_parquet
 from gaugeworks.sources.published import daily_since, update_decision
 
+#: What a daily table has before its first run.
+DAILY_KEYS = "station_code string, record_date date, water_level_mm double"
+
 
 def with_daily_key(df: DataFrame) -> DataFrame:
     """Key from provider or English column names."""
@@ -65,15 +68,18 @@ def merge_daily(
     threshold: float = FLOOD_ALERT_MM,
     types: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Published rows plus truly new ones, postprocessed (C4 between its reads and writes)."""
-    fetched = [daily_since(cols.to_english(page), start) for page in pages]
-    fresh = new_daily_rows(existing, union_tables(fetched))
-    return postprocess(union_tables([existing, fresh]), mappings, threshold, types)
+    """Published rows plus truly new ones, postprocessed (C4 between its reads and writes).
+
+    Types are inferred on the landed pages alone, in one pass, and applied to both sides.
+    """
+    fetched = union_tables([daily_since(cols.to_english(page), start) for page in pages])
+    types = cols.infer_text_types(fetched) if types is None else types
+    typed, held = cols.convert_types(fetched, types), cols.convert_types(existing, types)
+    return postprocess(union_tables([held, new_daily_rows(held, typed)]), mappings, threshold, {})
 
 
 def run_daily(
     spark: SparkSession,
-    existing: DataFrame,
     pages: list[DataFrame],
     out: str,
     as_of: date,
@@ -81,12 +87,29 @@ def run_daily(
     region: str = "france",
     mappings: dict[str, dict[str, str]] = FRENCH_CATEGORIES,
     threshold: float = FLOOD_ALERT_MM,
+    keep_versions: int = 3,
 ) -> DataFrame:
-    """Whole daily run (C4); returns the existing table untouched when it is current."""
+    """Whole daily run on the table under ``out`` (C4); returns what is published after it.
+
+    The merge is written once, as a new version; CSV and metadata read that, and the
+    pointer moves to the version when all of it is there. A table that is current, or a
+    run that fails, leaves the published version as it is.
+    """
+    dataset = VersionedDataset(spark, out)
+
+    def published() -> DataFrame:
+        current = dataset.current()
+        return spark.read.parquet(f"{current}/parquet") if current else spark.createDataFrame([], DAILY_KEYS)
+
+    existing = published()
     decision = update_decision(existing, as_of, region).first()
     if not decision["should_update"]:
         return existing
-    merged = merge_daily(existing, pages, decision["start_date"], mappings, threshold)
-    write_csv(merged, f"{out}/daily")
-    write_json(daily_metadata(merged, descriptors), f"{out}/metadata")
-    return merged
+    version = dataset.stage()
+    write_parquet(merge_daily(existing, pages, decision["start_date"], mappings, threshold), f"{version}/parquet")
+    merged = spark.read.parquet(f"{version}/parquet")
+    write_csv(merged, f"{version}/csv")
+    write_json(daily_metadata(merged, descriptors), f"{version}/metadata")
+    dataset.publish(version)
+    dataset.prune(keep_versions)
+    return published()

@@ -1,22 +1,20 @@
-"""Training, recursive forecast and risk snapshot of all stations."""
+"""Training, saved artefacts, recursive forecast and risk snapshot of all stations."""
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterator
+from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from gaugeworks.functions.seasonal import DAYS_PER_YEAR, HOURS_PER_DAY
+from gaugeworks.functions.seasonal import seasonal_encodings
 from gaugeworks.operators.blocks import KEY, hour_timestamp
 from gaugeworks.operators.features import CATEGORIES, DIFFS, LAGS, ROLLS, category_codes, model_inputs
 from gaugeworks.operators.latest import last_n
-from gaugeworks.operators.risk import clamp_horizon, residual_fan, risk_scores
-from gaugeworks.session import checkpoint_dir
+from gaugeworks.operators.risk import MAX_HORIZON, bounded_horizon, residual_fan, risk_scores
+from gaugeworks.session import cut_lineage
+from gaugeworks.sources.publish import write_json, write_parquet
 
 # --- Fixed values: model settings ------------------------------------------
 MODEL = {
@@ -28,11 +26,12 @@ MODEL = {
     "maxIter": 600,
     "seed": 42,
 }
+PATIENCE = 50
 BAND_PROBS = [0.1, 0.9]
 BAND_MIN_ROWS = 100
 MIN_CLEAN_HOURS = 170
 # ---------------------------------------------------------------------------
-STATIONS_AT_ONCE = 512
+STEPS_PER_CUT = 6
 STATE_HOURS = max(*LAGS, *[n for n, _ in ROLLS], *DIFFS) + 1
 
 
@@ -40,12 +39,41 @@ def assemble(frame: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=model_inputs(), outputCol="features").transform(frame)
 
 
-def train(frame: DataFrame, **settings) -> GBTRegressionModel:
-    """One boosted-tree model over all stations, stopping early on the hold-out rows."""
-    learner = GBTRegressor(
-        labelCol="target", featuresCol="features", validationIndicatorCol="is_holdout", **{**MODEL, **settings}
-    )
-    return learner.fit(assemble(frame).select("features", "target", "is_holdout"))
+def best_round(errors: list[float], patience: int) -> tuple[int, bool]:
+    """Rounds of the best prefix, and whether ``patience`` rounds without gain followed it."""
+    best = 0
+    for i, error in enumerate(errors):
+        if error < errors[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def train(frame: DataFrame, patience: int = PATIENCE, **settings) -> GBTRegressionModel:
+    """One boosted-tree model over all stations, stopped early on the hold-out rows.
+
+    The hold-out error of every prefix of the trees is taken; the first best one that
+    ``patience`` rounds do not improve on wins. Rounds grow from a little over the
+    patience up to ``maxIter``, and the winning number of rounds is fitted with the same seed, which gives
+    the same first trees.
+    """
+    wanted = {**MODEL, **settings}
+    rows = cut_lineage(assemble(frame).select("features", "target", "is_holdout"))
+    learning, held = rows.filter("NOT is_holdout"), rows.filter("is_holdout")
+
+    def fitted(rounds: int) -> GBTRegressionModel:
+        return GBTRegressor(labelCol="target", featuresCol="features", **{**wanted, "maxIter": rounds}).fit(learning)
+
+    rounds, empty = min(patience + 10, wanted["maxIter"]), held.isEmpty()
+    while True:
+        model = fitted(rounds)
+        if empty:
+            return model
+        best, stopped = best_round(model.evaluateEachIteration(held, "squared"), patience)
+        if stopped or rounds == wanted["maxIter"]:
+            return model if best == rounds else fitted(best)
+        rounds = min(2 * rounds, wanted["maxIter"])
 
 
 def predicted(model: GBTRegressionModel, frame: DataFrame) -> DataFrame:
@@ -86,72 +114,67 @@ def training_report(rows: DataFrame, bands: DataFrame) -> DataFrame:
     )
 
 
-def tree_arrays(model: GBTRegressionModel) -> dict[str, np.ndarray]:
-    """The saved trees as arrays (tree, node); the model settings bound their number."""
-    spark = SparkSession.active()
-    path = f"{checkpoint_dir(spark)}/trees-{uuid.uuid4().hex}"
-    model.write().save(path)
-    n = "nodeData."
-    nodes = (
-        spark.read.parquet(f"{path}/data")
-        .select(
-            "treeID",
-            F.col(n + "id").alias("id"),
-            F.col(n + "prediction").alias("value"),
-            F.col(n + "leftChild").alias("left"),
-            F.col(n + "rightChild").alias("right"),
-            F.greatest(F.col(n + "split.featureIndex"), F.lit(0)).alias("feature"),
-            F.get(n + "split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"),
-        )
-        .toPandas()
-    )
-    shape = (int(nodes["treeID"].max()) + 1, int(nodes["id"].max()) + 1)
-    at = (nodes["treeID"].to_numpy(), nodes["id"].to_numpy())
-    leaf = nodes["left"] < 0
-    trees = {name: np.zeros(shape, dtype) for name, dtype in TREE_FIELDS.items()}
-    for side in ("left", "right"):
-        trees[side][at] = nodes[side].where(~leaf, nodes["id"])
-    for name in ("feature", "threshold", "value"):
-        trees[name][at] = nodes[name].fillna(0)
-    return {**trees, "weight": np.array(model.treeWeights)[:, None]}
-
-
-TREE_FIELDS = {"left": "int32", "right": "int32", "feature": "int32", "threshold": "float64", "value": "float64"}
-
-
-def _predict(trees: dict[str, np.ndarray], x: np.ndarray, depth: int) -> np.ndarray:
-    """Model output for each row of ``x``, all trees at once."""
-    tree = np.arange(trees["left"].shape[0])[:, None]
-    node = np.zeros((len(tree), len(x)), dtype=int)
-    rows = np.arange(len(x))[None, :]
-    for _ in range(depth):
-        goes_left = x[rows, trees["feature"][tree, node]] <= trees["threshold"][tree, node]
-        node = np.where(goes_left, trees["left"][tree, node], trees["right"][tree, node])
-    return (trees["weight"] * trees["value"][tree, node]).sum(axis=0)
-
-
-def _last_row_features(levels: np.ndarray, hour: np.ndarray) -> np.ndarray:
-    """Feature columns of the newest row, in model order after the category codes."""
-    moment = pd.to_datetime(hour * 3600, unit="s")
-    by_hour = 2 * np.pi * moment.hour.to_numpy() / HOURS_PER_DAY
-    by_day = 2 * np.pi * moment.dayofyear.to_numpy() / DAYS_PER_YEAR
-    statistic = {"mean": lambda part: part.mean(axis=1), "std": lambda part: part.std(axis=1, ddof=1)}
-    return np.column_stack(
-        [
-            *[np.sin(by_hour), np.cos(by_hour), np.sin(by_day), np.cos(by_day)],
-            *[levels[:, -1 - k] for k in LAGS],
-            *[statistic[stat](levels[:, -n:]) for n, stat in ROLLS],
-            *[levels[:, -1] - levels[:, -1 - k] for k in DIFFS],
-        ]
+@dataclass(frozen=True)
+class Trained:
+    """What a training job leaves: the model, residual bands and the report document."""
+
+    model: GBTRegressionModel
+    bands: DataFrame
+    report: DataFrame
+
+
+def run_training(spark: SparkSession, frame: DataFrame, out: str, **settings) -> Trained:
+    """Train, measure and write model, bands and report under ``out``."""
+    frame = cut_lineage(frame)
+    model = train(frame, **settings)
+    rows = cut_lineage(predicted(model, frame))
+    bands = residual_bands(rows)
+    model.write().overwrite().save(f"{out}/model")
+    write_parquet(bands, f"{out}/bands")
+    write_parquet(rows.select(KEY, "hour", "is_holdout", "target", "prediction"), f"{out}/fitted")
+    write_parquet(training_report(rows, spark.read.parquet(f"{out}/bands")), f"{out}/report")
+    write_json(spark.read.parquet(f"{out}/report"), f"{out}/report-json")
+    return load_training(spark, out)
+
+
+def load_training(spark: SparkSession, out: str) -> Trained:
+    """The artefacts of :func:`run_training`."""
+    return Trained(
+        GBTRegressionModel.load(f"{out}/model"), spark.read.parquet(f"{out}/bands"), spark.read.parquet(f"{out}/report")
     )
 
 
+def state_features(levels: Column, hour: Column) -> dict[str, Column]:
+    """The model inputs of a series' newest row from its last levels, oldest first.
+
+    The same lags, windows and differences as in training, on one array per station.
+    """
+
+    def roll(n: int, stat: str) -> Column:
+        part = F.slice(levels, -n, n)
+        mean = F.aggregate(part, F.lit(0.0), lambda a, x: a + x) / n
+        if stat == "mean":
+            return mean
+        squares = F.aggregate(F.transform(part, lambda x: (x - mean) * (x - mean)), F.lit(0.0), lambda a, x: a + x)
+        return F.sqrt(squares / (n - 1))
+
+    return {
+        **seasonal_encodings(hour_timestamp(hour)),
+        **{f"lag_{k}": F.element_at(levels, -1 - k) for k in LAGS},
+        **{f"roll{n}_{stat}": roll(n, stat) for n, stat in ROLLS},
+        **{f"diff_{k}": F.element_at(levels, -1) - F.element_at(levels, -1 - k) for k in DIFFS},
+    }
+
+
 def forecast_states(series: DataFrame, catalogue: DataFrame, bands: DataFrame) -> DataFrame:
-    """One row per trained station with enough history: its last levels, oldest first."""
-    newest = last_n(
-        series.select(KEY, "hour", "level"), STATE_HOURS, order=[F.desc("hour")]
-    )
-    counted = series.groupBy(KEY).agg(F.count("*").alias("clean_hours"))
+    """One row per trained station with enough history: its last levels, oldest first.
+
+    The series is written once; its count and its last rows read that.
+    """
+    known = series.join(bands.select(KEY), KEY, "left_semi").select(KEY, "hour", "level")
+    held = cut_lineage(known)
+    newest = last_n(held, STATE_HOURS, time="hour")
+    counted = held.groupBy(KEY).agg(F.count("*").alias("clean_hours"))
     path = F.array_sort(F.collect_list(F.struct("hour", "level")))
     return (
         newest.groupBy(KEY)
@@ -170,49 +193,39 @@ def forecast_states(series: DataFrame, catalogue: DataFrame, bands: DataFrame) -
     )
 
 
-def recursive_forecast(model: GBTRegressionModel, states: DataFrame, horizon: int) -> DataFrame:
+def recursive_forecast(
+    model: GBTRegressionModel, states: DataFrame, horizon: int, max_horizon: int = MAX_HORIZON
+) -> DataFrame:
     """Hour-by-hour forecast of all stations, each step fed back as a level.
 
-    The state of a station is its last 169 levels. One map over the stations
-    runs all steps on the batch at once, so the plan does not grow with the
-    horizon. ``states`` has one bounded row per station.
+    The state of a station is one row with its last 169 levels; a step is the model's own
+    transform over all stations. Lineage is cut every few steps, so plans stay short.
     """
-    steps, depth = clamp_horizon(horizon), model.getMaxDepth()
-    trees = tree_arrays(model)
+    steps = bounded_horizon(horizon, max_horizon)
     codes = [f"{c}_id" for c in CATEGORIES]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            # bounds the (tree, station) work arrays
-            for first in range(0, len(batch), STATIONS_AT_ONCE):
-                yield extend(batch.iloc[first : first + STATIONS_AT_ONCE])
-
-    def extend(part: pd.DataFrame) -> pd.DataFrame:
-        levels = np.stack(part["levels"].to_numpy())
-        categories = part[codes].to_numpy(dtype="float64")
-        hour = part["last_hour"].to_numpy()
-        means = []
-        for step in range(steps):
-            x = np.hstack([categories, _last_row_features(levels, hour + step)])
-            means.append(_predict(trees, x, depth))
-            levels = np.column_stack([levels[:, 1:], means[-1]])
-        return pd.DataFrame({KEY: part[KEY].to_numpy(), "means": list(np.column_stack(means))})
-
-    paths = states.select(KEY, "last_hour", "levels", *codes).mapInPandas(run, f"{KEY} string, means array<double>")
-    kept = states.select(KEY, "last_hour", F.element_at("levels", -1).alias("last_level"), "low_offset", "high_offset")
-    low, high = residual_fan(F.col("mean"), F.col("low_offset"), F.col("high_offset"))
-    return (
-        paths.join(kept, KEY)
-        .select("*", F.posexplode("means").alias("index", "mean"))
-        .select(
-            KEY,
-            (F.col("index") + 1).alias("step"),
-            hour_timestamp(F.col("last_hour") + F.col("index") + 1).alias("forecast_ts"),
-            "mean",
-            low.alias("low"),
-            high.alias("high"),
+    keep = [KEY, "last_hour", "low_offset", "high_offset", *codes]
+    none = F.array().cast("array<double>")
+    now = states.withColumns({"last_level": F.element_at("levels", -1), "means": none})
+    for step in range(steps):
+        inputs = now.withColumns(state_features(F.col("levels"), F.col("last_hour") + step))
+        mean = F.array("prediction")
+        now = predicted(model, inputs).select(
+            *keep,
             "last_level",
+            F.concat(F.slice("levels", 2, STATE_HOURS - 1), mean).alias("levels"),
+            F.concat("means", mean).alias("means"),
         )
+        if (step + 1) % STEPS_PER_CUT == 0 or step + 1 == steps:
+            now = cut_lineage(now)
+    low, high = residual_fan(F.col("mean"), F.col("low_offset"), F.col("high_offset"))
+    return now.select("*", F.posexplode("means").alias("index", "mean")).select(
+        KEY,
+        (F.col("index") + 1).alias("step"),
+        hour_timestamp(F.col("last_hour") + F.col("index") + 1).alias("forecast_ts"),
+        "mean",
+        low.alias("low"),
+        high.alias("high"),
+        "last_level",
     )
 
 

@@ -14,9 +14,13 @@ from gaugeworks.operators.enrich import absent_stations, join_stations, monitore
 from gaugeworks.operators.merge import dedup_readings, retain_days
 from gaugeworks.operators.metadata import dataset_metadata
 from gaugeworks.operators.quality import validation_report
+from gaugeworks.catalogue import require_valid
+from gaugeworks.schema import READING_COLUMNS
 from gaugeworks.session import cut_lineage
+from gaugeworks.sources.payload import flatten_records, payload_records, read_payloads
 from gaugeworks.sources.publish import VersionedDataset, newest_day, publish_readings, read_days, upsert_days
 from gaugeworks.sources.published import high_water_mark, incremental_slice
+from gaugeworks.sources.resources import read_selected, require_resources, resources_in_window, select_resources
 
 
 def transform_readings(raw: DataFrame, catalogue: DataFrame | None = None, source_zone: str = "UTC") -> DataFrame:
@@ -26,8 +30,8 @@ def transform_readings(raw: DataFrame, catalogue: DataFrame | None = None, sourc
     return enrich_readings(df, catalogue)
 
 
-def enrich_readings(df: DataFrame, catalogue: DataFrame | None = None) -> DataFrame:
-    """The part of C1 after the timestamps are parsed and checked."""
+def enrich_readings(df: DataFrame, catalogue: DataFrame | None = None, sequence: str | None = None) -> DataFrame:
+    """The part of C1 after the timestamps are parsed and checked; ``sequence`` is kept for a merge."""
     df = cols.coerce_doubles(df, ["water_level", "latitude", "longitude"])
     if catalogue is not None:
         df = join_stations(df, catalogue)
@@ -40,7 +44,8 @@ def enrich_readings(df: DataFrame, catalogue: DataFrame | None = None) -> DataFr
         F.col("water_level"), F.col("warning_level"), F.col("danger_level"), F.col("high_flood_level")
     )
     key = reading_key(F.col("station_code"), F.col("timestamp"), F.col("water_level"))
-    return cols.canonical(df.withColumn("flood_status", status).withColumn("dedup_key", key))
+    df = df.withColumn("flood_status", status).withColumn("dedup_key", key)
+    return df.select(*[c for c in READING_COLUMNS if c in df.columns], sequence) if sequence else cols.canonical(df)
 
 
 @dataclass
@@ -62,9 +67,21 @@ def fetch_new(
     return incremental_slice(monitored_only(df, catalogue), since, end)
 
 
+def extract_landed(
+    spark: SparkSession, landing: str, manifest: DataFrame, since: datetime, end: datetime
+) -> DataFrame:
+    """Records of a landing zone of JSON payloads that can matter to (since, end].
+
+    ``landing`` has ``basin=.../time_range=...`` directories; those of other resources, or of
+    years outside the window, are not read.
+    """
+    payloads = read_selected(read_payloads(spark, landing), resources_in_window(manifest, since, end))
+    return flatten_records(payload_records(payloads.drop("basin", "time_range")))
+
+
 def run_hourly(
     spark: SparkSession,
-    landed: DataFrame,
+    landed: DataFrame | str,
     catalogue: DataFrame,
     manifest: DataFrame,
     root: str,
@@ -75,22 +92,37 @@ def run_hourly(
     retention_days: int = 365,
     source_zone: str = "Asia/Kolkata",
     backfill_from: datetime | None = None,
+    basins: list[str] | None = None,
+    time_ranges: list[str] | None = None,
+    sequence: str | None = None,
+    keep_versions: int = 24,
 ) -> HourlyRun:
-    """Water mark, slice, transform, merge, publish and validate."""
-    existing = VersionedDataset(spark, root).read()
+    """Water mark, extract, slice, transform, merge, publish and validate.
+
+    ``landed`` is a landing zone or a table of its records; ``sequence`` names the column
+    that tells the later of two equal keys.
+    """
+    require_valid(catalogue)
+    chosen = require_resources(select_resources(manifest, basins, time_ranges))
+    dataset = VersionedDataset(spark, root)
+    existing = dataset.read()
     since = backfill_from or high_water_mark(existing, default_start).first()["since"]
+    records = extract_landed(spark, landed, chosen, since, end) if isinstance(landed, str) else landed
     untimed = Observation("untimed rows")
-    fetched = fetch_new(landed, catalogue, since, end, source_zone)
-    fresh = enrich_readings(cols.drop_untimed(fetched, report=untimed), catalogue)
+    fetched = fetch_new(records, catalogue, since, end, source_zone)
+    fresh = enrich_readings(cols.drop_untimed(fetched, report=untimed), catalogue, sequence)
     # several actions follow: the deduplicated rows are written once
-    merged = cut_lineage(dedup_readings(existing, fresh))
+    merged = cut_lineage(dedup_readings(existing, fresh, sequence=sequence))
     readings = retain_days(merged, retention_days)
     metadata = dataset_metadata(
         readings, catalogue, manifest, retention_days, end.strftime("%Y-%m-%dT%H:%M:%SZ"), descriptors, provider
     )
     version = publish_readings(readings, metadata, root)
-    published = VersionedDataset(spark, root).read()
-    return HourlyRun(version, untimed.get["dropped_rows"], published, absent_stations(fresh, catalogue), validation_report(published))
+    dataset.prune(keep_versions)
+    published = dataset.read()
+    return HourlyRun(
+        version, untimed.get["dropped_rows"], published, absent_stations(published, catalogue), validation_report(published)
+    )
 
 
 def refresh_days(
@@ -110,5 +142,5 @@ def refresh_days(
     """
     since = high_water_mark(newest_day(spark, root), default_start).first()["since"]
     fetched = cols.drop_untimed(fetch_new(landed, catalogue, since, end, source_zone))
-    upsert_days(spark, root, cut_lineage(enrich_readings(fetched, catalogue)), retention_days=retention_days)
+    upsert_days(spark, root, enrich_readings(fetched, catalogue), retention_days=retention_days)
     return read_days(spark, root, retention_days)

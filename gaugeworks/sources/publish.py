@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -94,6 +95,19 @@ class VersionedDataset:
         current = self.current()
         return read_published(self.spark, f"{current}/{table}" if current else f"{self.root}/none")
 
+    def prune(self, keep: int) -> list[str]:
+        """Delete all but the newest ``keep`` versions and the current one; the names that went."""
+        fs, root = self._fs(self.root)
+        held = sorted(
+            (s for s in fs.listStatus(root) if s.getPath().getName().startswith("version-")),
+            key=lambda s: s.getModificationTime(),
+        )
+        current = (self.current() or "").rsplit("/", 1)[-1]
+        gone = [s.getPath() for s in held[: max(0, len(held) - keep)] if s.getPath().getName() != current]
+        for path in gone:
+            fs.delete(path, True)
+        return [path.getName() for path in gone]
+
 
 def publish_readings(df: DataFrame, metadata: DataFrame, root: str, parquet: bool = True, partition: bool = True) -> str:
     """Write one whole version (CSV, Parquet, stations, metadata) and switch to it.
@@ -117,22 +131,26 @@ def publish_readings(df: DataFrame, metadata: DataFrame, root: str, parquet: boo
 
 def upsert_days(
     spark: SparkSession, root: str, new: DataFrame, sequence: str | None = None, retention_days: int = 0
-) -> None:
+) -> int:
     """Idempotent merge into a table partitioned by day, rewriting touched days only.
 
     Keys contain the reading's time, so equal keys share a day: days without new
-    rows cannot change and are neither read nor written. Days wholly outside the
+    rows cannot change and are neither read nor written. Rows without a time have
+    no day and are left out; their number is returned. Days wholly outside the
     retention are removed; :func:`read_days` cuts the boundary day exactly.
     """
-    days = [r[0] for r in new.select(F.to_date("timestamp").alias("day")).distinct().collect()]
+    new = cut_lineage(new)  # read for its days, its untimed rows and the merge
+    timed = new.filter(F.col("timestamp").isNotNull())
+    days = [r[0] for r in timed.select(F.to_date("timestamp").alias("day")).distinct().collect()]
+    untimed = new.filter(F.col("timestamp").isNull()).count()
     if not days:
-        return
+        return untimed
     if path_exists(spark, root):
         touched = spark.read.schema(DAY_SCHEMA).parquet(root).filter(F.col("day").isin(days)).drop("day")
     else:
         touched = spark.createDataFrame([], READINGS)
     # the touched days are input and output: the merged rows are written aside first
-    merged = cut_lineage(dedup_readings(touched, new, sequence=sequence))
+    merged = cut_lineage(dedup_readings(touched, timed, sequence=sequence))
     (
         merged.withColumn("day", F.to_date("timestamp"))
         .repartitionByRange("day", "station_code", "timestamp")
@@ -144,14 +162,20 @@ def upsert_days(
     )
     if retention_days > 0:
         _drop_days_before(spark, root, retention_days)
+    return untimed
+
+
+def _held_days(spark: SparkSession, root: str) -> list[date]:
+    """Days of the table, from the names of its directories; no file is opened."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    names = [s.getPath().getName() for s in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)]
+    return sorted(date.fromisoformat(n[4:]) for n in names if n.startswith("day=") and n[4:5].isdigit())
 
 
 def _drop_days_before(spark: SparkSession, root: str, retention_days: int) -> None:
-    table = spark.read.schema(DAY_SCHEMA).parquet(root)
-    held = [r[0] for r in table.select("day").distinct().collect()]
-    newest = max(held, default=None)
+    held = _held_days(spark, root)
     for day in held:
-        if newest and (newest - day).days > retention_days:
+        if (held[-1] - day).days > retention_days:
             folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/day={day.isoformat()}")
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
@@ -167,5 +191,7 @@ def newest_day(spark: SparkSession, root: str) -> DataFrame:
     """Readings of the day table's last day, which hold its high-water mark."""
     if not path_exists(spark, root):
         return spark.createDataFrame([], READINGS)
-    table = spark.read.schema(DAY_SCHEMA).parquet(root)
-    return table.filter(F.col("day") == table.agg(F.max("day")).first()[0]).drop("day")
+    held = _held_days(spark, root)
+    if not held:
+        return spark.createDataFrame([], READINGS)
+    return spark.read.schema(DAY_SCHEMA).parquet(root).filter(F.col("day") == F.lit(held[-1])).drop("day")

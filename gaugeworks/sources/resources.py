@@ -3,13 +3,9 @@
 from __future__ import annotations
 
 from datetime import datetime
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import DataFrame, functions as F
 
-MANIFEST_LIMIT = 200
-
 
 def split_list(text: str | None) -> list[str] | None:
     """Comma list of a job argument; empty means no filter."""
@@ -58,14 +54,8 @@ def resource_stations(manifest: DataFrame, catalogue: DataFrame) -> DataFrame:
 def read_selected(landed: DataFrame, selected: DataFrame) -> DataFrame:
     """Rows of the selected resources only.
 
-    A manifest is small: its (basin, range) pairs become a literal predicate,
-    which on a landing zone of ``basin=.../time_range=...`` directories leaves
-    all other directories unread. A longer one is joined.
+    On a landing zone of ``basin=.../time_range=...`` directories the join keys are
+    partition columns, so Spark prunes directories by the selection at run time.
     """
     keys = ["basin", "time_range"]
-    pairs = selected.select(*keys).distinct()
-    listed = pairs.take(MANIFEST_LIMIT + 1)
-    if len(listed) > MANIFEST_LIMIT:
-        return landed.join(pairs, keys, "left_semi")
-    chosen = [(F.col("basin") == r["basin"]) & (F.col("time_range") == r["time_range"]) for r in listed]
-    return landed.filter(reduce(or_, chosen, F.lit(False)))
+    return landed.join(selected.select(*keys).distinct(), keys, "left_semi")

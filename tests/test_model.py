@@ -27,11 +27,29 @@ def series(spark):
 
 
 @pytest.fixture(scope="module")
-def trained(spark, series, catalogue):
+def trained(spark, series, catalogue, tmp_path_factory):
     frame = fx.training_frame(series, catalogue).persist()
-    model = fc.train(frame, maxIter=12)
-    rows = fc.predicted(model, frame).persist()
-    return model, rows, fc.residual_bands(rows).persist()
+    out = str(tmp_path_factory.mktemp("model"))
+    done = fc.run_training(spark, frame, out, patience=4, maxIter=12, maxDepth=3)
+    return done.model, fc.predicted(done.model, frame).persist(), done.bands
+
+
+def test_stop_waits_for_its_patience():
+    falling = [1 / (i + 1) for i in range(80)]
+    assert fc.best_round(falling, 50) == (80, False)
+    late = [5.0, *[6.0] * 48, 4.0, *[6.0] * 49]
+    assert fc.best_round(late, 50) == (50, False)
+    assert fc.best_round([*late, 6.0, 1.0], 50) == (50, True)
+    assert fc.best_round([5.0, *[6.0] * 50], 50) == (1, True)
+
+
+def test_more_than_one_tree_survives(trained):
+    assert 1 < trained[0].getNumTrees <= 12
+
+
+def test_saved_artefacts_hold_the_report(spark, trained):
+    bands = {r["station_code"] for r in trained[2].collect()}
+    assert bands == {"CAVMSI", "YMNCKT"}
 
 
 def test_report(trained):
@@ -41,15 +59,6 @@ def test_report(trained):
     assert [b["station_code"] for b in report["band_offsets"]] == ["CAVMSI", "YMNCKT"]
 
 
-def test_saved_trees_predict_like_the_model(trained):
-    import numpy as np
-
-    model, rows, _ = trained
-    pdf = rows.select(*fx.model_inputs(), "prediction").toPandas()
-    mine = fc._predict(fc.tree_arrays(model), pdf[fx.model_inputs()].to_numpy(float), model.getMaxDepth())
-    assert np.allclose(mine, pdf["prediction"].to_numpy())
-
-
 def test_recursive_forecast_equals_one_step_at_a_time(spark, series, catalogue, trained):
     model, _, bands = trained
     states = fc.forecast_states(series, catalogue, bands)

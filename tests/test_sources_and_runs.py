@@ -82,6 +82,21 @@ def test_payload_shapes(spark, tmp_path, document):
     assert sorted(r["a"] for r in records.collect()) == [1, 2]
 
 
+@pytest.mark.parametrize(
+    "document", [{"result": {"total": 0}, "records": [{"a": 1}]}, {"result": {"records": []}, "data": [{"a": 1}]}]
+)
+def test_a_result_without_records_is_empty(spark, tmp_path, document):
+    (tmp_path / "page.json").write_text(json.dumps(document))
+    assert payload.payload_records(payload.read_payloads(spark, str(tmp_path))).count() == 0
+
+
+def test_lists_of_different_records_are_merged(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps({"records": [{"a": 1, "b": "x"}]}))
+    (tmp_path / "b.json").write_text(json.dumps({"data": [{"a": "two", "c": 2.5}]}))
+    got = payload.payload_records(payload.read_payloads(spark, str(tmp_path))).collect()
+    assert sorted((r["a"], r["b"], r["c"]) for r in got) == [("1", "x", None), ("two", None, 2.5)]
+
+
 def test_flatten_keeps_extra_columns(spark):
     df = spark.sql("SELECT named_struct('name', 'MUSIRI', 'id', 7) AS station, 82.5 AS level, 'x' AS note")
     flat = payload.flatten_records(df)
@@ -229,18 +244,59 @@ def test_postprocess(spark):
 
 
 def test_daily_run_adds_new_days_once(spark, tmp_path):
-    existing = cols.to_english(spark.createDataFrame([("109", "2026-01-15", "5800", "raw")], PROVIDER))
+    out = str(tmp_path / "daily")
+    first = spark.createDataFrame([("109", "2026-01-15", "5800", "raw")], PROVIDER)
     page = spark.createDataFrame(
         [("109", "2026-01-15", "5800", "Donnée brute"), ("109", "2026-01-16", "6200", "Donnée brute"),
          ("109", "2026-01-17", "6300", "Donnée validée")],
         PROVIDER,
     )
-    out = daily.run_daily(spark, existing, [page], str(tmp_path), date(2026, 1, 20), {"title": "t"})
-    assert [(r["record_date"].day, r["validation_status"]) for r in out.collect()] == [(15, "raw"), (16, "raw"), (17, "validated")]
-    meta = json.loads(spark.read.text(str(tmp_path / "metadata")).first()[0])
+    assert daily.run_daily(spark, [first], out, date(2026, 1, 16), {"title": "t"}).count() == 1
+    done = daily.run_daily(spark, [page], out, date(2026, 1, 20), {"title": "t"})
+    assert [(r["record_date"].day, r["validation_status"]) for r in done.orderBy("record_date").collect()] == [(15, "raw"), (16, "raw"), (17, "validated")]
+    current = publish.VersionedDataset(spark, out).current()
+    meta = json.loads(spark.read.text(f"{current}/metadata").first()[0])
     assert meta["temporalCoverage"] == {"startDate": "2026-01-15", "endDate": "2026-01-17"}
-    same = daily.run_daily(spark, out, [page], str(tmp_path / "x"), date(2026, 1, 18), {"title": "t"})
-    assert same is out and not (tmp_path / "x").exists()
+    same = daily.run_daily(spark, [page], out, date(2026, 1, 18), {"title": "t"})
+    assert same.count() == 3 and publish.VersionedDataset(spark, out).current() == current
+
+
+def test_old_versions_go(spark, tmp_path):
+    out = str(tmp_path / "daily")
+    for day in range(5, 10):
+        page = spark.createDataFrame([("109", f"2026-01-0{day}", "5800", "raw")], PROVIDER)
+        got = daily.run_daily(spark, [page], out, date(2026, 1, day + 1), {}, keep_versions=2)
+    assert got.count() == 5 and len(list((tmp_path / "daily").glob("version-*"))) == 2
+
+
+def test_day_table_leaves_untimed_rows_out(spark, tmp_path):
+    schema = "station_code string, timestamp timestamp, water_level double, dedup_key string"
+    batch = spark.createDataFrame([("A", datetime(2026, 1, 1), 1.0, "k1"), ("A", None, 2.0, "k2")], schema)
+    root = str(tmp_path / "days")
+    assert [publish.upsert_days(spark, root, batch, retention_days=5) for _ in range(2)] == [1, 1]
+    assert publish.read_days(spark, root, 5).count() == 1 and publish.newest_day(spark, root).count() == 1
+
+
+def test_hourly_run_extracts_from_a_landing_zone(spark, tmp_path, catalogue):
+    zone = tmp_path / "zone"
+    for basin, years, level in (("Cauvery", "(2026 - 2030)", "82.5"), ("Cauvery", "(2016 - 2020)", "9"), ("Yamuna", "(2026 - 2030)", "200")):
+        folder = zone / f"basin={basin}" / f"time_range={years}"
+        folder.mkdir(parents=True)
+        rows = [{"Station": "MUSIRI", "Data Acquisition Time": f"0{d}-01-2026 05:30", "River Water Level Telemetry Hourly (meter)": level} for d in (1, 2)]
+        (folder / "page.json").write_text(json.dumps({"result": {"records": rows}}))
+    fields = "basin string, kind string, time_range string, resource_id string, start_year int, end_year int"
+    manifest = spark.createDataFrame(
+        [("Cauvery", "telemetry", "(2026 - 2030)", "r1", 2026, 2030), ("Cauvery", "telemetry", "(2016 - 2020)", "r2", 2016, 2020),
+         ("Yamuna", "telemetry", "(2026 - 2030)", "r3", 2026, 2030)],
+        fields,
+    )
+    args = dict(root=str(tmp_path / "out"), end=datetime(2026, 2, 1), default_start=datetime(2025, 12, 1), descriptors={}, provider="p")
+    done = run_hourly(spark, str(zone), catalogue, manifest, basins=["cauvery"], **args)
+    assert sorted(r["water_level"] for r in done.readings.collect()) == [82.5, 82.5]
+    with pytest.raises(ValueError):
+        run_hourly(spark, str(zone), catalogue, manifest, basins=["nowhere"], **args)
+    with pytest.raises(ValueError):
+        run_hourly(spark, str(zone), catalogue.withColumn("latitude", F.lit(100.0)), manifest, **args)
 
 
 def test_cursor(spark):
