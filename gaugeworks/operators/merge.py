@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from gaugeworks.operators.columns import canonical, coerce_doubles, with_utc_timestamp
+from gaugeworks.session import cut_lineage
 
 
 def union_tables(tables: list[DataFrame]) -> DataFrame:
@@ -54,7 +55,9 @@ def merge_readings(
     sequence: str | None = None,
 ) -> DataFrame:
     """Idempotent merge with retention (U1); order the result when it is written."""
-    return retain_days(dedup_readings(existing, new, dedup_key, sequence), retention_days)
+    merged = dedup_readings(existing, new, dedup_key, sequence)
+    # the newest time and the rows both need the merge: it is written once
+    return retain_days(cut_lineage(merged), retention_days) if retention_days > 0 else merged
 
 
 def new_rows_only(existing: DataFrame, new: DataFrame, key: str) -> DataFrame:

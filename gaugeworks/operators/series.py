@@ -33,6 +33,7 @@ JUNK_BUFFER_HOURS = 36
 JUNK_MIN_SERIES = 100
 PIN_TOLERANCE = 1e-6
 # ---------------------------------------------------------------------------
+GAP_PIECE = 4096
 
 
 def dedup_timestamps(
@@ -82,8 +83,18 @@ def mad_fence(
     return own_rows(df).drop("median", "distance", "deviation")
 
 
-def _until_next(next_hour: Column) -> Column:
-    return F.explode(F.sequence(F.col("hour"), F.coalesce(next_hour - 1, F.col("hour"))))
+def with_grid_hours(df: DataFrame, piece: int = GAP_PIECE) -> DataFrame:
+    """A row per ``grid_hour`` from ``hour`` up to the next known one.
+
+    A gap is cut into pieces first, so no row ever holds an array longer than a piece;
+    the hours leave the task as rows, and what follows deals them out by block.
+    """
+    last = F.coalesce(F.col("next_hour") - 1, F.col("hour"))
+    pieces = df.withColumn("_last", last).withColumn(
+        "_from", F.explode(F.sequence(F.col("hour"), F.col("_last"), F.lit(piece).cast("bigint")))
+    )
+    hours = F.sequence(F.col("_from"), F.least(F.col("_last"), F.col("_from") + piece - 1))
+    return pieces.withColumn("grid_hour", F.explode(hours)).drop("_last", "_from")
 
 
 def hourly_grid(hourly: DataFrame, size: int = BLOCK) -> DataFrame:
@@ -91,9 +102,7 @@ def hourly_grid(hourly: DataFrame, size: int = BLOCK) -> DataFrame:
     w = block_window("position")
     df = with_halo(with_positions(hourly, "hour", "level", size=size), "position", back=0, ahead=1, size=size)
     df = own_rows(df.withColumn("next_hour", F.lead("hour").over(w)))
-    return df.select(
-        KEY, _until_next(F.col("next_hour")).alias("grid_hour"), "hour", "level", "first_hour", "last_hour"
-    ).select(
+    return with_grid_hours(df).select(
         KEY,
         F.col("grid_hour").alias("hour"),
         F.when(F.col("grid_hour") == F.col("hour"), F.col("level")).alias("level"),
@@ -116,8 +125,7 @@ def interpolate(hourly: DataFrame, size: int = BLOCK) -> DataFrame:
     df = own_rows(
         df.withColumn("next_hour", F.lead("hour").over(w)).withColumn("next_level", F.lead("level").over(w))
     )
-    df = df.withColumn("grid_hour", _until_next(F.col("next_hour")))
-    return df.select(
+    return with_grid_hours(df).select(
         KEY,
         F.col("grid_hour").alias("hour"),
         _linear(F.col("next_hour"), F.col("next_level")).alias("level"),
@@ -192,7 +200,7 @@ def clean_hourly(hourly: DataFrame, bands: DataFrame | None = None, size: int =
         df = df.withColumn("level", clip_to_band(F.col("level"), F.col("band_low"), F.col("band_high")))
     df = df.withColumn("next_hour", F.lead("hour").over(by_hour))
     df = df.withColumn("next_level", F.lead("level").over(by_hour))
-    df = own_rows(df).withColumn("grid_hour", _until_next(F.col("next_hour")))
+    df = with_grid_hours(own_rows(df))
     grid = df.select(
         KEY,
         F.col("grid_hour").alias("hour"),

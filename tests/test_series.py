@@ -117,3 +117,10 @@ def test_one_hot_station_does_not_change_the_others(spark, hours):
     got = collect(sr.prepare_series(hours({"hot": hot, "small": small}), "seq", size=64), start_hour(spark))
     assert got["hot"] == pytest.approx(brute.clean(hot, None))
     assert got["small"] == pytest.approx(brute.clean(small, None))
+
+
+def test_a_gap_of_two_centuries(spark):
+    rows = [("A", 0, 1.0), ("A", 1_750_000, 2.0)]
+    filled = sr.interpolate(spark.createDataFrame(rows, "station_code string, hour bigint, level double"))
+    got = filled.agg(F.count("*"), F.min("hour"), F.max("hour"), F.sum("level")).first()
+    assert (got[0], got[1], got[2]) == (1_750_001, 0, 1_750_000) and got[3] == pytest.approx(1.5 * 1_750_001)
