@@ -37,7 +37,7 @@ MER = 3
 SLOTS = 1 << 22
 FREQUENT = 1e-6
 FLUSH_BYTES = 32 << 20
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 10 << 20
 #: A word travels in about three super-k-mers.
 TRAVEL_BYTES = 20
 ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -139,7 +139,7 @@ class Sender:
 
     def __init__(self, span: int, buckets: int, frequent: np.ndarray):
         self.span, self.buckets, self.frequent = span, buckets, frequent
-        self.press = zstandard.ZstdCompressor(level=1)
+        self.press = zstandard.ZstdCompressor(level=3)
         self.clear()
 
     def clear(self) -> None:
@@ -231,9 +231,12 @@ def repeats_in(bucket: list[bytes], span: int) -> list[np.ndarray]:
     text = pa.py_buffer(b"".join(texts))
     rows = pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(offsets_of(size)), text)
     order = np.lexsort((start, tie, key))
+    del columns, texts
     words, counts = words_of(rows.take(pa.array(order)))
+    del rows, text
     key, tie, start, n = key[order], tie[order], start[order], n[order]
-    _, codes = encoded(words)
+    codes = encoded(words)[1]
+    del words
     windows = n - span + 1
     at = ragged(offsets_of(counts)[:-1], windows)  # places of the windows' first words
     hashes = window_hashes(mixed(codes.astype(np.uint64) + np.uint64(1)), span)[at]
