@@ -36,7 +36,7 @@ from gaugeworks.llm.batches import encoded, offsets_of, pieces, words_of
 from gaugeworks.session import cut_lineage
 
 CHUNK_BYTES = 12 << 20
-LINE = 1 << 20
+LINE_TOKENS = 600_000
 END = 0  # the class of the end token, which no word has
 
 
@@ -51,7 +51,7 @@ class HmmRules:
     rounds: int = 2
     stay: float = 0.9
     floor: float = 0.05
-    piece_bytes: int = 2 << 20
+    piece_bytes: int = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -458,7 +458,7 @@ def _scores(rules: HmmRules, buckets: int, model: Model, totals: Totals):
             stream = np.insert(classes[place], np.cumsum(counts), END)
             score, at, bounds = np.zeros(len(counts)), 0, offsets_of(tokens)
             while at < len(counts):
-                upto = max(at + 1, int(np.searchsorted(bounds, bounds[at] + (LINE >> 2), side="right")) - 1)
+                upto = max(at + 1, int(np.searchsorted(bounds, bounds[at] + LINE_TOKENS, side="right")) - 1)
                 lanes = Lanes(tokens[at:upto])
                 line = stream[bounds[at] : bounds[upto]]
                 total, _ = forward(model, lanes, model.emit.T[line[lanes.places()]], keep=False)
