@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.llm.text import filled, folded
+from gaugeworks.llm.skew import dealt_anew
 from gaugeworks.session import cut_lineage
 
 HEAD_BYTES = 64
@@ -46,7 +47,7 @@ def exact_groups(
         .groupBy("_n", "_head")
         .count()
         .filter("count > 1")
-        .select("_n", "_head", F.lit(True).alias("_grouped"))
+        .select(dealt_anew("_n"), "_head", F.lit(True).alias("_grouped"))
     )
     rows = docs.select(
         F.struct("doc_id", *[c for c in carry if c not in ("doc_id", "text")]).alias("_row"),
@@ -77,7 +78,7 @@ def exact_groups(
         )
         at += width
         split = cut_lineage(
-            digit.join(groups, [*keys, "_digit"]).select(
+            digit.join(groups.withColumn(keys[0], dealt_anew(keys[0])), [*keys, "_digit"]).select(
                 "_uid",
                 "doc_id",
                 "_n",
