@@ -12,6 +12,7 @@ bounds: reruns agree.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -21,7 +22,7 @@ from gaugeworks.llm.ranks import ranked
 from gaugeworks.llm.text import word_count
 from gaugeworks.session import cut_lineage
 
-ROWS_PER_RANGE = 20_000
+LEAST_PER_RANGE = 1_000
 WEIGHTS = (3.0, 1.0, 2.0)
 
 
@@ -64,7 +65,7 @@ def mix(
     most: float = 2.0,
     weights: Sequence[float] = WEIGHTS,
     seed: int = 7,
-    rows_per_range: int = ROWS_PER_RANGE,
+    least_per_range: int = LEAST_PER_RANGE,
     carry: Sequence[str] = (),
 ) -> DataFrame:
     """Words taken from every document so that each source meets its target.
@@ -88,7 +89,9 @@ def mix(
     )
     per_source = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_n"))
     count = per_source.agg(F.sum("_n")).first()[0] or 0
-    bits = max(0, (max(1, -(-count // rows_per_range)) - 1).bit_length())
+    # as many rows to a range as there are ranges: neither side of the prefix sums grows faster
+    per_range = max(least_per_range, math.isqrt(count))
+    bits = max(0, (max(1, -(-count // per_range)) - 1).bit_length())
     place = F.shiftrightunsigned("_key", 64 - bits) if bits else F.lit(0).cast("long")
     targets = source_targets(per_source, share, most, weights)
     known = rows.withColumn("_range", place).join(
