@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,13 +17,29 @@ def query(name: str, sql: str | None = None):
     """Register ``(spark, sf_dir) -> DataFrame`` under a name."""
 
     def register(build: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[name] = build
+        @wraps(build)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            known_to_workers(spark)
+            return build(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
-        return build
+        return run
 
     return register
 
 
+def known_to_workers(spark: SparkSession) -> None:
+    """Python workers find the package where the driver has it.
+
+    A cluster whose machines do not hold it there gets it with ``--py-files``.
+    """
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
