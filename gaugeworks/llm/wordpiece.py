@@ -8,6 +8,9 @@ special token's string, go through its full ``encode``.
 
 from __future__ import annotations
 
+from array import array
+from collections.abc import Sequence
+
 import numpy as np
 import regex
 
@@ -25,7 +28,7 @@ def byte_alphabet() -> list[str]:
 class ChunkVocabulary:
     """Ids of every chunk seen, as one flat array with a start and a length per chunk."""
 
-    def __init__(self, path: str, extra: tuple[int, ...] = (), most: int = 500_000):
+    def __init__(self, path: str, extra: tuple[int, ...] = (), most: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -36,11 +39,11 @@ class ChunkVocabulary:
     def clear(self) -> None:
         """Forget all chunks but the extra ids, which stay at place 0."""
         self.places: dict[str, int] = {}
-        self.parts: dict[str, list[int]] = {}
+        self.parts: dict[str, array] = {}
         self.ids = np.array(self.extra, np.uint32)
         self.starts, self.lengths = np.zeros(1, np.int64), np.full(1, len(self.extra), np.int64)
 
-    def encode(self, chunk: str) -> list[int]:
+    def encode(self, chunk: str) -> Sequence[int]:
         plain = chunk.isascii() and chunk.isprintable() or LATIN.fullmatch(chunk)
         if not plain or "<|" in chunk:
             return self.tokenizer.encode(chunk, add_special_tokens=False).ids
@@ -49,11 +52,13 @@ class ChunkVocabulary:
             return self.merged(text)
         return [token for part in PARTS.findall(text) for token in self.merged(part)]
 
-    def merged(self, part: str) -> list[int]:
+    def merged(self, part: str) -> array:
         found = self.parts.get(part)
         if found is None:
+            if len(self.parts) >= self.most // 3:
+                self.parts.clear()
             text = part if part.isascii() else "".join(map(self.alphabet.__getitem__, part.encode()))
-            found = self.parts[part] = [token.id for token in self.model.tokenize(text)]
+            found = self.parts[part] = array("I", [token.id for token in self.model.tokenize(text)])
         return found
 
     def places_of(self, chunks: list[str]) -> np.ndarray:
