@@ -85,6 +85,8 @@ def _slot_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
+    if len(values) < width:
+        return values[:0]
     done = 1
     while done < width:
         step = min(done, width - done)

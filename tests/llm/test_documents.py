@@ -196,6 +196,21 @@ def test_remove_repeats_takes_all_copies_of_a_row_alike(docs):
     assert len(got) == 3 and all(r.n_removed == 0 and len(r.kept_text.split(" ")) == r.n_words for r in got)
 
 
+@pytest.mark.parametrize("n", range(1, 26))
+def test_pieces_shorter_than_a_window(n):
+    sender = spans.Sender(20, 4, np.zeros(spans.SLOTS, bool))
+    sender.add(np.arange(1), np.zeros(1, np.int32), pa.array([" ".join(f"w{k}" for k in range(n))]))
+    assert sum(held[3] for held in sender.kept.values()) == max(0, n - 19)
+    values = np.arange(n, 0, -1).astype(np.uint64)
+    assert spans.sliding_least(values, 18).tolist() == [int(min(values[i : i + 18])) for i in range(n - 17)]
+
+
+def test_tables_shorter_than_a_window(spark):
+    for n in (8, 14, 15, 16, 20):
+        (row,) = spans.remove_repeats(spark.createDataFrame([(1, "a " * n)], "doc_id bigint, text string")).collect()
+        assert (row.n_words, row.n_removed) == (n, 0)
+
+
 def test_window_hashes_depend_on_the_window_alone():
     rng = np.random.default_rng(1)
     codes = rng.integers(0, 3, 400).astype(np.uint64)
