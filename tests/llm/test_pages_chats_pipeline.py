@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import chat, exact, mixing, packing, quality, simhash, urls
+from gaugeworks.llm import chat, exact, jaccard, mixing, packing, quality, simhash, urls
 from gaugeworks.llm.text import folded
 
 # urls
@@ -215,3 +215,68 @@ def test_run_over_a_table(spark, tmp_path, docs):
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert got and {"doc_id", "start", "length", "ids", "sequence_id", "offset"} <= set(got[0].asDict())
+
+
+# near copies
+
+
+def near_rows():
+    rng = np.random.default_rng(11)
+    vocabulary = [f"w{k}" for k in range(900)]
+    rows = []
+
+    def add(words):
+        rows.append((len(rows) * 7 % 1000, " ".join(words)))
+
+    for size in (60, 90, 150, 400):
+        base = rng.choice(vocabulary, size).tolist()
+        for changed in (0, 1, 2, 3, 4, 6, 9, 14):
+            words = list(base)
+            for at in rng.choice(size, changed, replace=False).tolist():
+                words[at] = words[at].upper() if at % 5 == 0 else f"new{len(rows)}"
+            add(words)
+    for _ in range(30):
+        add(rng.choice(vocabulary, 80).tolist())
+    base = rng.choice(vocabulary, 120).tolist()
+    for k in range(5):  # linked with their neighbours
+        base[3 * k] = f"drift{k}"
+        add(base)
+    for k in range(30):  # and one of copies of one text
+        add(rng.choice(vocabulary, 0).tolist() + [f"x{i}" if i != 3 * k else "y" for i in range(100)])
+    return rows + [(2000, ""), (2001, None), (2002, "one two"), (2003, "One  two"), (None, "one two"), (2004, "two one")]
+
+
+def brute_near(rows):
+    upper = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
+    sets = []
+    for _, text in rows:
+        words = (text or "").translate(upper).split()
+        sets.append({tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))})
+    group = list(range(len(rows)))
+    for j in range(len(rows)):
+        for i in range(j):
+            if group[i] != group[j] and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                group = [group[i] if g == group[j] else g for g in group]
+    by = collections.defaultdict(list)
+    for g, (i, _) in zip(group, rows):
+        by[g].append(i)
+    return [min((i for i in by[g] if i is not None), default=None) for g in group]
+
+
+def test_near_copies_are_those_of_brute_force(spark):
+    rows = near_rows()
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    got = jaccard.near_copies(table.withColumn("key", F.lit(1)), carry=("text", "key")).collect()
+    want = sorted(zip(map(str, [i for i, _ in rows]), map(str, brute_near(rows))))
+    assert sorted((str(r.doc_id), str(r.component_id)) for r in got) == want
+    assert collections.Counter((r.doc_id, r.text) for r in got) == collections.Counter(rows)
+
+
+def test_pipeline_drops_near_copies_that_differ_in_more_than_three_bits(spark):
+    rows = near_rows()
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    stage = dict(corpus_pipeline.STAGES)["near_dedup"]
+    kept = stage(spark, table, "")
+    assert kept.columns == table.columns
+    want = sorted({str(c) for c in brute_near(rows)})
+    assert sorted(str(r.doc_id) for r in kept.collect()) == want
