@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,3 +39,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows are in the shared folder, executors may go."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a compressed Parquet table in the shared folder: later reads take only the columns they use."""
+    folder = f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
