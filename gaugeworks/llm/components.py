@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,15 +11,15 @@ from gaugeworks.llm.skew import dealt_anew
 from gaugeworks.session import cut_lineage
 
 
-def connected(edges: DataFrame) -> DataFrame:
+def connected(edges: DataFrame, cut: Callable[[DataFrame], DataFrame] = cut_lineage) -> DataFrame:
     """``(node, root)`` for every node of the edges ``(u, v)``; root is the least node reachable.
 
     Every step is a minimum per node (aggregated before the shuffle) and a join back to the
     edges, where adaptive execution splits a node that holds many of them. The number of
     steps grows with the logarithm of the longest chain. Only counts reach the driver.
-    Loops and repeated edges are allowed; no edges give no rows.
+    Loops and repeated edges are allowed; no edges give no rows. ``cut`` materialises a step.
     """
-    held = cut_lineage(edges.filter("u != v").select("u", "v").distinct())
+    held = cut(edges.filter("u != v").select("u", "v").distinct())
     before = None
     while True:
         both = held.unionByName(held.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -32,7 +34,7 @@ def connected(edges: DataFrame) -> DataFrame:
             .filter("u != v")
             .distinct()
         )
-        held = cut_lineage(small)
+        held = cut(small)
         now = held.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break
