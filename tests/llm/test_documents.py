@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import hashlib
 import itertools
+import json
 import math
 import random
 import zlib
@@ -16,7 +17,7 @@ import pytest
 import xxhash
 from tokenizers import Tokenizer
 
-from gaugeworks.llm import components, exact, hmm, licences, mixing, packing, quality, simhash, spans
+from gaugeworks.llm import components, exact, hmm, licences, mixing, packing, quality, simhash, spans, wordpiece
 from gaugeworks.llm.batches import pieces, words_of
 from gaugeworks.llm.wordpiece import ChunkVocabulary
 
@@ -472,3 +473,27 @@ def test_pieces_and_words():
     for p in (batch, *parts):
         found, counts = words_of(p.column("text"))
         assert counts.tolist() == [len(words(t)) for t in p.column("text").to_pylist()] and len(found) == counts.sum()
+
+
+def test_marked_ranks_merge_every_token_as_the_vocabulary_does(tokenizer):
+    model = json.loads(tokenizer.to_str())["model"]
+    ranks, ids, ends = wordpiece.marked_ranks(model)
+    assert len(ranks) == 512 + len(model["merges"]) == len(ids)  # no token has two merges
+    order = list(ranks)
+    value = {c: bytes([b]) for b, c in enumerate(wordpiece.byte_alphabet())}
+
+    def marked(token):
+        text = token.removesuffix("</w>")
+        return b"".join(map(value.__getitem__, text)) + b"\x01" * (text != token)
+
+    for rank, merge in enumerate(model["merges"], 512):
+        first, second = map(marked, merge.split(" ") if isinstance(merge, str) else merge)
+        token = first + second
+        parts = [token[i : i + 1] for i in range(len(token))]
+        while True:
+            best, at = min(((ranks.get(a + b, rank), i) for i, (a, b) in enumerate(itertools.pairwise(parts))), default=(rank, 0))
+            if best >= rank:
+                break
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        assert ranks[token] == rank and parts == [first, second]
+        assert order[rank] == token and ends[rank] == token.endswith(b"\x01")
