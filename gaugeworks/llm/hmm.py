@@ -6,12 +6,13 @@ fall into classes by a hash of their ending, so unseen and rare words share what
 learned of words like them, and the state parameters have a fixed size whatever the
 vocabulary; the counts of the words themselves stay distributed.
 
-Training: one pass counts words, classes and, for the start values, which frequent
-classes each class follows. Then Baum-Welch: every pass sends each partition's expected
-counts (states x classes, states x states) to one aggregation, whose result has the fixed
-size of the parameters and is what the driver sees. All passes read every training text
-whole. Forward and backward are scaled, so likelihoods are exact at any length; the texts
-of a batch advance together, one token position at a time.
+Training: one pass writes the class of every token of every training text, whole, as a
+compressed table; further passes read that. They count classes and, for the start values,
+which frequent classes each class follows. Then Baum-Welch: every pass sends each
+partition's expected counts (states x classes, states x states) to one aggregation, whose
+result has the fixed size of the parameters and is what the driver sees. Forward and
+backward are scaled, so likelihoods are exact at any length; the texts of a batch advance
+together, one token position at a time, and stretches of a long text advance side by side.
 
 Scoring needs the count of every token of a text. Texts are dealt into chunks; a chunk
 asks for the counts of its distinct tokens, packed by token bucket, gets them back in the
@@ -32,11 +33,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.batches import encoded, offsets_of, pieces, words_of
-from gaugeworks.session import cut_lineage
+from gaugeworks.llm.batches import encoded, offsets_of, pieces, ragged, words_of
+from gaugeworks.session import cut_lineage, written
 
 CHUNK_BYTES = 12 << 20
 LINE_TOKENS = 600_000
+#: Tokens of a long text that are one lane of the recursion.
+STRETCH = 1024
 END = 0  # the class of the end token, which no word has
 
 
@@ -48,7 +51,7 @@ class HmmRules:
     classes: int = 1 << 13
     anchors: int = 2048
     context: int = 32
-    rounds: int = 2
+    gain: float = 0.03
     stay: float = 0.9
     floor: float = 0.05
     piece_bytes: int = 4 << 20
@@ -79,56 +82,115 @@ def tokens_of(texts: pa.Array, classes: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Lanes:
-    """Texts of a piece, longest first: position t of all texts that have one is a slice."""
-
-    def __init__(self, lengths: np.ndarray):
-        self.order = np.argsort(-lengths, kind="stable")
-        self.lengths = lengths[self.order]
-        self.first = offsets_of(lengths)[:-1][self.order]
-        longest = int(self.lengths[0]) if len(lengths) else 0
-        # texts with more than t tokens, for every t
+    """Stretches of a piece's texts, longest first: position t of all that have one is a slice.
+
+    A text longer than ``most`` tokens is several stretches, so that a long text does not
+    make the others wait; ``number`` counts the stretches of a text.
+    """
+
+    def __init__(self, lengths: np.ndarray, most: int = STRETCH):
+        parts = np.maximum(1, -(-lengths // most))
+        text = np.repeat(np.arange(len(lengths)), parts)
+        number = ragged(np.zeros(len(parts), np.int64), parts)
+        size = np.minimum(most, lengths[text] - number * most)
+        order = np.argsort(-size, kind="stable")
+        self.texts, self.text, self.number = len(lengths), text[order], number[order]
+        self.lengths, self.last = size[order], (number + 1 == parts[text])[order]
+        self.first = (offsets_of(lengths)[:-1][text] + number * most)[order]
+        longest = int(self.lengths[0]) if len(order) else 0
+        # stretches with more than t tokens, for every t
         self.width = np.searchsorted(-self.lengths, -np.arange(longest), side="left")
         self.base = offsets_of(self.width)
+        # lanes of texts of several stretches, and the lane before each of theirs
+        self.linked = np.nonzero(~(self.last & (self.number == 0)))[0]
+        lane = np.empty(len(order), np.int64)
+        lane[order] = np.arange(len(order))
+        self.before = np.where(self.number > 0, lane[order - 1], -1)
 
     def places(self) -> np.ndarray:
-        """Token number, in text order, of every (position, text) in slice order."""
+        """Token number, in text order, of every (position, stretch) in slice order."""
         lane = np.arange(int(self.base[-1])) - np.repeat(self.base[:-1], self.width)
         return self.first[lane] + np.repeat(np.arange(len(self.width)), self.width)
 
 
-def forward(model: Model, lanes: Lanes, emitted: np.ndarray, keep: bool) -> tuple[np.ndarray, np.ndarray]:
+def joints(model: Model, lanes: Lanes, emitted: np.ndarray, back: bool) -> tuple[np.ndarray, np.ndarray]:
+    """State before every stretch, and with ``back`` the scaled beta after its last token.
+
+    Stretches of one text are advanced side by side from every state at once; what that
+    gives, the probability of a stretch's tokens and its last state by the state before, is
+    then multiplied through the text from its start and from its end.
+    """
+    states = len(model.start)
+    entry = np.tile(model.start, (len(lanes.lengths), 1))
+    ahead = np.ones((len(lanes.lengths), states))
+    some = lanes.linked
+    if not len(some):
+        return entry, ahead
+    through = np.empty((len(some), states, states))
+    logs = np.zeros((len(some), states))
+    width = np.searchsorted(-lanes.lengths[some], -np.arange(int(lanes.lengths[some[0]])), side="left")
+    begin = np.where((lanes.number[some] == 0)[:, None, None], np.eye(states), model.move)
+    for t, w in enumerate(width.tolist()):
+        now = emitted[int(lanes.base[t]) + some[:w]][:, None, :]
+        through[:w] = (begin if t == 0 else through[:w] @ model.move) * now
+        scale = through[:w].sum(axis=2)
+        through[:w] /= scale[:, :, None]
+        logs[:w] += np.log(scale)
+    logs -= logs.max(axis=1, keepdims=True)
+    through *= np.exp(logs)[:, :, None]
+    row = np.full(len(lanes.lengths), -1)
+    row[some] = np.arange(len(some))
+    numbers = lanes.number[some]
+    for k in range(1, int(numbers.max()) + 1):
+        now = some[numbers == k]
+        before = lanes.before[now]
+        found = np.einsum("nk,nkj->nj", entry[before], through[row[before]])
+        entry[now] = found / found.sum(axis=1, keepdims=True)
+    for k in range(int(numbers.max()), 0, -1) if back else ():
+        now = some[numbers == k]
+        found = np.einsum("nkj,nj->nk", through[row[now]], ahead[now])
+        ahead[lanes.before[now]] = found / (found * entry[now]).sum(axis=1, keepdims=True)
+    return entry, ahead
+
+
+def forward(
+    model: Model, lanes: Lanes, emitted: np.ndarray, keep: bool, entry: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Scaled forward recursion over slice-ordered emissions (tokens, states).
 
-    Returns log10 likelihoods by lane and, with ``keep``, the scaled alphas with the scales
+    Returns log10 likelihoods by text and, with ``keep``, the scaled alphas with the scales
     in the last column.
     """
+    if entry is None:
+        entry, _ = joints(model, lanes, emitted, back=False)
     total = np.zeros(len(lanes.lengths))
     states = emitted.shape[1]
     alphas = np.empty((len(emitted), states + 1)) if keep else np.empty((0, 0))
-    alpha = np.empty((0, states))
+    alpha = np.where((lanes.number == 0)[:, None], entry, entry @ model.move)
     for t, width in enumerate(lanes.width.tolist()):
         base = int(lanes.base[t])
         now = emitted[base : base + width]
-        alpha = now * model.start if t == 0 else (alpha[:width] @ model.move) * now
+        alpha = alpha * now if t == 0 else (alpha[:width] @ model.move) * now
         scale = alpha.sum(axis=1)
         alpha /= scale[:, None]
         total[:width] += np.log10(scale)
         if keep:
             alphas[base : base + width, :states] = alpha
             alphas[base : base + width, states] = scale
-    return total, alphas
+    return np.bincount(lanes.text, total, lanes.texts), alphas
 
 
 def expected(model: Model, lanes: Lanes, emitted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """State posteriors in slice order, expected moves and starts, and the log10 likelihood."""
     states = emitted.shape[1]
-    total, alphas = forward(model, lanes, emitted, keep=True)
+    entry, ends = joints(model, lanes, emitted, back=True)
+    total, alphas = forward(model, lanes, emitted, True, entry)
     moves = np.zeros((states, states))
     beta = np.empty((0, states))
     for t in range(len(lanes.width) - 1, -1, -1):
         base, width = int(lanes.base[t]), int(lanes.width[t])
         following = len(beta)
-        here = np.ones((width, states))
+        here = ends[:width].copy()
         alpha = alphas[base : base + width, :states]
         if following:
             after = int(lanes.base[t + 1])
@@ -136,10 +198,13 @@ def expected(model: Model, lanes: Lanes, emitted: np.ndarray) -> tuple[np.ndarra
             moves += alpha[:following].T @ ahead
             here[:following] = ahead @ model.move.T
         beta = here
+        if t == 0:  # moves into the first tokens of later stretches
+            later = lanes.number > 0
+            moves += entry[later].T @ (emitted[:width] * beta / alphas[:width, states][:, None])[later]
         alphas[base : base + width, :states] = alpha * beta
     moves *= model.move
     gamma = alphas[:, :states]
-    starts = gamma[: len(lanes.lengths)].sum(axis=0)
+    starts = gamma[: len(lanes.lengths)][lanes.number == 0].sum(axis=0)
     return gamma, moves, starts, float(total.sum())
 
 
@@ -148,11 +213,34 @@ def is_training(doc_id) -> F.Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 != 1
 
 
+CODED = "codes binary, lengths binary"
+
+
+def _coded(rules: HmmRules):
+    """Class codes and lengths of the texts of a piece, compressed."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text", rules.piece_bytes):
+            classes, lengths = tokens_of(batch.column("text"), rules.classes)
+            kinds = ("<u4" if rules.classes > 1 << 16 else "<u2", "<i8")
+            packed = [zstandard.compress(x.astype(kind).tobytes(), 1) for x, kind in zip((classes, lengths), kinds)]
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in packed], ["codes", "lengths"])
+
+    return run
+
+
+def decoded(batches: Iterable[pa.RecordBatch], rules: HmmRules) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(class of every token, tokens per text) of every piece."""
+    for batch in batches:
+        for codes, lengths in zip(batch.column("codes"), batch.column("lengths")):
+            classes = np.frombuffer(zstandard.decompress(codes.as_py()), "<u4" if rules.classes > 1 << 16 else "<u2")
+            yield classes.astype(np.int64), np.frombuffer(zstandard.decompress(lengths.as_py()), "<i8")
+
+
 def _class_counts(rules: HmmRules):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(rules.classes, np.int64)
-        for batch in pieces(batches, "text"):
-            classes, _ = tokens_of(batch.column("text"), rules.classes)
+        for classes, _ in decoded(batches, rules):
             counts += np.bincount(classes, minlength=rules.classes)
         yield from sparse_rows(np.arange(rules.classes), counts[:, None].astype(float))
 
@@ -167,8 +255,7 @@ def _beside_counts(rules: HmmRules, common: np.ndarray):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(len(common) * width, np.int64)
-        for batch in pieces(batches, "text"):
-            classes, counts = tokens_of(batch.column("text"), rules.classes)
+        for classes, counts in decoded(batches, rules):
             inner = np.ones(max(0, len(classes) - 1), bool)
             inner[np.cumsum(counts)[:-1] - 1] = False  # not across texts
             for a, b in ((classes[:-1], classes[1:]), (classes[1:], classes[:-1])):
@@ -193,23 +280,23 @@ def sparse_rows(keys: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch
 
 
 def _expected_counts(rules: HmmRules, model: Model):
-    """One Baum-Welch pass over a partition: expected counts by class, then moves and starts."""
+    """One Baum-Welch pass over a partition: expected counts by class, then moves, starts and the likelihood."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         states = rules.states
         emissions = np.zeros((rules.classes, states))
-        moves, starts = np.zeros((states, states)), np.zeros(states)
-        for batch in pieces(batches, "text", rules.piece_bytes):
-            classes, lengths = tokens_of(batch.column("text"), rules.classes)
+        moves, starts, gained = np.zeros((states, states)), np.zeros(states), np.zeros(states)
+        for classes, lengths in decoded(batches, rules):
             lanes = Lanes(lengths)
             token = classes[lanes.places()]
-            gamma, some_moves, some_starts, _ = expected(model, lanes, model.emit.T[token])
+            gamma, some_moves, some_starts, likelihood = expected(model, lanes, model.emit.T[token])
+            gained[0] += likelihood
             for k in range(states):
                 emissions[:, k] += np.bincount(token, weights=gamma[:, k], minlength=rules.classes)
             moves += some_moves
             starts += some_starts
         yield from sparse_rows(np.arange(rules.classes), emissions)
-        yield from sparse_rows(-1 - np.arange(states + 1), np.vstack([moves, starts]))
+        yield from sparse_rows(-1 - np.arange(states + 2), np.vstack([moves, starts, gained]))
 
     return run
 
@@ -253,32 +340,42 @@ def start_model(counts: np.ndarray, anchors: np.ndarray, beside: np.ndarray, rul
 
 
 def train(texts: DataFrame, rules: HmmRules = HmmRules()) -> Model:
-    """Baum-Welch over all rows of the column ``text``."""
-    only = texts.select("text")
+    """Baum-Welch over all rows of the column ``text``.
+
+    Rounds go on until the log10 likelihood a token gains less than ``rules.gain``.
+    """
+    coded = written(texts.select("text").mapInArrow(_coded(rules), CODED), "coded")
     counts = np.zeros(rules.classes)
-    for key, value in gathered(only.mapInArrow(_class_counts(rules), "key bigint, values array<double>"), 1).items():
+    for key, value in gathered(coded.mapInArrow(_class_counts(rules), "key bigint, values array<double>"), 1).items():
         counts[key] = value[0]
     anchors = np.argsort(-counts, kind="stable")[: rules.anchors]
     width = min(rules.context, len(anchors))
     beside = np.zeros((rules.classes, width))
-    for key, value in gathered(only.mapInArrow(_beside_counts(rules, anchors), "key bigint, values array<double>"), width).items():
+    for key, value in gathered(coded.mapInArrow(_beside_counts(rules, anchors), "key bigint, values array<double>"), width).items():
         beside[key] = value
     model = start_model(counts, anchors, beside[anchors], rules)
     prior = (counts + 0.5) / (counts + 0.5).sum()
-    for _ in range(rules.rounds if counts.sum() else 0):
-        sums = gathered(only.mapInArrow(_expected_counts(rules, model), "key bigint, values array<double>"), rules.states)
+    before = -math.inf
+    while counts.sum():
+        sums = gathered(coded.mapInArrow(_expected_counts(rules, model), "key bigint, values array<double>"), rules.states)
         emit, move, start = np.zeros((rules.classes, rules.states)), np.zeros((rules.states,) * 2), np.zeros(rules.states)
+        likelihood = 0.0
         for key, value in sums.items():
             if key >= 0:
                 emit[key] = value
             elif -1 - key < rules.states:
                 move[-1 - key] = value
-            else:
+            elif -1 - key == rules.states:
                 start = value
+            else:
+                likelihood = value[0]
         # the prior lends every class a little mass, so no word is impossible in a state
         emit = emit.T + 5.0 * prior
         move, start = move + 0.1, start + 0.1
         model = Model(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=1, keepdims=True))
+        if likelihood - before < rules.gain * counts.sum():
+            break
+        before = likelihood
     return model
 
 
@@ -462,7 +559,7 @@ def _scores(rules: HmmRules, buckets: int, model: Model, totals: Totals):
                 lanes = Lanes(tokens[at:upto])
                 line = stream[bounds[at] : bounds[upto]]
                 total, _ = forward(model, lanes, model.emit.T[line[lanes.places()]], keep=False)
-                score[at + lanes.order] = total
+                score[at:upto] = total
                 at = upto
             yield pa.RecordBatch.from_arrays(
                 [

@@ -15,6 +15,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from gaugeworks.llm import components, exact, hmm, licences, mixing, packing, quality, simhash, spans, wordpiece
@@ -383,22 +384,40 @@ def small_model(states=3, classes=5):
     return hmm.Model(rows(states), rows(states, states), rows(states, classes))
 
 
-def test_forward_is_the_sum_over_all_paths():
+@pytest.mark.parametrize("most", [1, 2, 3, 1024])
+def test_forward_is_the_sum_over_all_paths(most):
     model, rng = small_model(), np.random.default_rng(3)
-    lengths = np.array([1, 6, 3, 6, 2])
+    lengths = np.array([1, 6, 3, 7, 2])
     tokens = rng.integers(0, 5, lengths.sum())
-    lanes = hmm.Lanes(lengths)
+    lanes = hmm.Lanes(lengths, most)
     total, _ = hmm.forward(model, lanes, model.emit.T[tokens[lanes.places()]], keep=False)
     bounds = np.concatenate([[0], np.cumsum(lengths)])
-    for lane, text in enumerate(lanes.order):
-        assert total[lane] == pytest.approx(brute_hmm(model, tokens[bounds[text] : bounds[text + 1]]))
+    for text in range(len(lengths)):
+        assert total[text] == pytest.approx(brute_hmm(model, tokens[bounds[text] : bounds[text + 1]]))
 
 
-def test_expected_counts_sum_and_training_gains():
+def test_stretches_of_a_long_text_change_nothing():
+    model, rng = small_model(), np.random.default_rng(5)
+    lengths = np.array([4000, 1, 700, 2500])
+    tokens = rng.integers(0, 5, lengths.sum())
+    found = []
+    for most in (100, 1 << 20):
+        lanes = hmm.Lanes(lengths, most)
+        token = tokens[lanes.places()]
+        gamma, moves, starts, total = hmm.expected(model, lanes, model.emit.T[token])
+        by_place = np.empty_like(gamma)
+        by_place[lanes.places()] = gamma
+        found.append((by_place, moves, starts, total))
+    for one, two in zip(*found):
+        assert np.allclose(one, two, rtol=1e-9)
+
+
+@pytest.mark.parametrize("most", [2, 1024])
+def test_expected_counts_sum_and_training_gains(most):
     rng = np.random.default_rng(4)
     lengths = np.array([5, 9, 1, 7])
     tokens = rng.integers(0, 5, lengths.sum())
-    lanes, model, seen = hmm.Lanes(lengths), small_model(), []
+    lanes, model, seen = hmm.Lanes(lengths, most), small_model(), []
     token = tokens[lanes.places()]
     for _ in range(8):
         gamma, moves, starts, total = hmm.expected(model, lanes, model.emit.T[token])
@@ -410,6 +429,24 @@ def test_expected_counts_sum_and_training_gains():
     assert all(b >= a - 1e-9 for a, b in zip(seen, seen[1:])) and seen[-1] > seen[0]
 
 
+def test_scores_are_the_models_probabilities(spark):
+    rng, rules = random.Random(8), hmm.HmmRules(states=2, classes=16, anchors=8, context=4)
+    rows = [(i, " ".join(rng.choice(["ab", "cd", "Xab", "q", "über", "cd."]) for _ in range(rng.randint(0, 5)))) for i in range(60)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    model = hmm.train(table.filter(hmm.is_training(F.col("doc_id"))), rules)
+    train = [folded(t).split() for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1]
+    count = collections.Counter(w for ws in train for w in ws)
+    class_of = {w: int(hmm.class_of(pa.array([w]), rules.classes)[0]) for _, t in rows for w in folded(t).split()}
+    total, types = collections.Counter(), collections.Counter()
+    for w, n in count.items():
+        total[class_of[w]] += n
+        types[class_of[w]] += 1
+    for r in hmm.score(table, rules).collect():
+        ws = folded(dict(rows)[r.doc_id]).split()
+        inside = sum(math.log10((count[w] + 0.5) / (total[class_of[w]] + 0.5 * (types[class_of[w]] + 1))) for w in ws)
+        assert r.score == pytest.approx(brute_hmm(model, [class_of[w] for w in ws] + [hmm.END]) + inside, rel=1e-9)
+
+
 def test_scores(docs, plain):
     rules = hmm.HmmRules(states=3, classes=64, anchors=16, context=4)
     got = hmm.score(docs, rules).collect()
