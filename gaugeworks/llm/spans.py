@@ -19,14 +19,14 @@ does not; a task takes one bucket at a time.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.llm.batches import encoded, offsets_of, pieces, ragged, words_of
@@ -38,6 +38,8 @@ SLOTS = 1 << 22
 FREQUENT = 1e-6
 FLUSH_BYTES = 32 << 20
 BUCKET_BYTES = 10 << 20
+#: Buckets a task works through, one at a time.
+TASK_BUCKETS = 8
 #: A word travels in about three super-k-mers.
 TRAVEL_BYTES = 20
 ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -133,7 +135,7 @@ def unpack_rows(payload: bytes, kinds: list, loose: zstandard.ZstdDecompressor)
 
 
 #: doc key, tie, first window, words (or windows, for finished runs), bytes of text
-KINDS = [np.int64, np.int32, np.int64, np.int64, np.int64]
+KINDS = [np.int64, np.int64, np.int64, np.int64, np.int64]
 
 
 class Sender:
@@ -201,16 +203,17 @@ class Sender:
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
                 some = order[a:b]
                 v = values[some]
-                columns = [np.diff(v[:, 0], prepend=0), v[:, 1].astype(np.int32), v[:, 2].copy(), v[:, 3] + self.span - 1, sizes[some]]
+                columns = [np.diff(v[:, 0], prepend=0), v[:, 1].copy(), v[:, 2].copy(), v[:, 3] + self.span - 1, sizes[some]]
                 rows.append((int(v[0, 4]), pack_rows(columns, b"".join([texts[i] for i in some.tolist()]), self.press)))
         if self.repeats:
             v = np.array(self.repeats, np.int64)
-            home = self.buckets + (v[:, 0] & 0x7FFFFFFF) % self.buckets
+            mix = mixed(v[:, 0].astype(np.uint64) ^ mixed(v[:, 1].astype(np.uint64)))
+            home = self.buckets + (mix % np.uint64(self.buckets)).astype(np.int64)
             order = np.argsort(home, kind="stable")
             bounds = np.nonzero(np.diff(home[order], prepend=-1, append=-1))[0]
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
                 w = v[order[a:b]]
-                columns = [np.diff(w[:, 0], prepend=0), w[:, 1].astype(np.int32), w[:, 2].copy(), w[:, 3].copy(), np.zeros(len(w), np.int64)]
+                columns = [np.diff(w[:, 0], prepend=0), w[:, 1].copy(), w[:, 2].copy(), w[:, 3].copy(), np.zeros(len(w), np.int64)]
                 rows.append((int(home[order[a]]), pack_rows(columns, b"", self.press)))
         self.clear()
         for at in range(0, len(rows), 256):
@@ -328,6 +331,21 @@ def _removed(span: int, with_text: bool):
     return run
 
 
+def tie_of(rows: DataFrame, hashed: Callable[[int], Column] = lambda salt: F.xxhash64("text", F.lit(salt))) -> Column:
+    """What tells rows ``(key, text)`` of one key apart: nothing if no key repeats, else a hash.
+
+    A hash under which two different texts of one key collide is replaced by another one.
+    """
+    if rows.groupBy("key").count().filter("count > 1").isEmpty():
+        return F.lit(0).cast("long")
+    salt = 0
+    while True:
+        groups = rows.select("key", "text", hashed(salt).alias("tie")).groupBy("key", "tie")
+        if groups.agg(F.min("text").alias("a"), F.max("text").alias("b")).filter("a != b").isEmpty():
+            return hashed(salt).cast("long")
+        salt += 1
+
+
 def remove_repeats(docs: DataFrame, span: int = 20, with_text: bool = False, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """Remove every word covered by a window of ``span`` words that also starts earlier.
 
@@ -337,17 +355,17 @@ def remove_repeats(docs: DataFrame, span: int = 20, with_text: bool = False, buc
     ``kept_text``.
 
     Null or empty text has no words. A null doc_id is smaller than any other. Rows that
-    share a doc_id are ordered by a hash of their text; rows that share both are one
-    document given several times, and all of them get its result. Empty table: no rows.
+    share a doc_id are ordered by a hash of their text; rows that share doc_id and text are
+    one document given several times, and all of them get its result. Empty table: no rows.
     Further columns of any name are ignored.
     """
     spark = docs.sparkSession
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"),
-        F.hash("text").alias("tie"),
-        "text",
+        F.coalesce("text", F.lit("")).alias("text"),
     )
+    rows = rows.withColumn("tie", tie_of(rows))
     tally = cut_lineage(
         rows.select("text").mapInArrow(_slot_counts, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
     )
@@ -372,9 +390,9 @@ def remove_repeats(docs: DataFrame, span: int = 20, with_text: bool = False, buc
     runs = (
         rows.select("key", "tie", "text")
         .mapInArrow(send, "bucket bigint, payload binary")
-        .repartition("bucket")
+        .repartition(max(parts, -(-buckets // TASK_BUCKETS)), "bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(_runs(span, buckets), "key bigint, tie int, start bigint, windows bigint")
+        .mapInArrow(_runs(span, buckets), "key bigint, tie bigint, start bigint, windows bigint")
         .groupBy("key", "tie")
         .agg(F.collect_list(F.struct("start", "windows")).alias("runs"))
     )

@@ -534,3 +534,16 @@ def test_marked_ranks_merge_every_token_as_the_vocabulary_does(tokenizer):
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         assert ranks[token] == rank and parts == [first, second]
         assert order[rank] == token and ends[rank] == token.endswith(b"\x01")
+
+
+def test_colliding_texts_of_one_id_are_told_apart(spark):
+    rng = random.Random(12)
+    shared = [rng.choice("abcdef") for _ in range(24)]
+    rows = [(None, " ".join([*shared, f"x{i}"])) for i in range(6)] + [(3, " ".join(["y", *shared]))] * 2
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    assert sorted(r.n_removed for r in spans.remove_repeats(frame).collect()) == [0] + [24] * 7
+    keyed = frame.select(F.coalesce("doc_id", F.lit(spans.NO_ID)).alias("key"), "text")
+    # a hash that puts all texts of a key together is not used
+    tie = spans.tie_of(keyed, lambda salt: F.xxhash64("text") if salt == 2 else F.lit(salt))
+    assert keyed.select("key", tie.alias("tie")).distinct().count() == 7
+    assert keyed.filter("key = 3").limit(1).select(spans.tie_of(keyed.filter("key = 3").limit(1)).alias("t")).first().t == 0
