@@ -599,8 +599,10 @@ def score(docs: DataFrame, rules: HmmRules = HmmRules()) -> DataFrame:
     buckets = buckets if buckets <= rules.classes else -(-buckets // rules.classes) * rules.classes
     chunked = rows.withColumn("hash", F.xxhash64("doc_id", "text")).withColumn("chunk", F.pmod("hash", F.lit(chunks)))
     order = ["chunk", "doc_id", "hash"]
-    asks = chunked.repartition("chunk").sortWithinPartitions(*order).select("chunk", "text", "train").mapInArrow(_asks(rules, buckets), ASK)
-    answers = cut_lineage(asks.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_answers(rules), ANSWER))
+    # a task gets a few chunks or one bucket at a time, however many there are
+    tasks = max(parts, -(-chunks // 4))
+    asks = chunked.repartition(tasks, "chunk").sortWithinPartitions(*order).select("chunk", "text", "train").mapInArrow(_asks(rules, buckets), ASK)
+    answers = cut_lineage(asks.repartition(max(parts, buckets), "bucket").sortWithinPartitions("bucket").mapInArrow(_answers(rules), ANSWER))
     by_class = np.zeros((rules.classes, 2))
     for key, value in gathered(answers.filter("key is not null").select("key", "values"), 2).items():
         by_class[key] = value
@@ -610,7 +612,7 @@ def score(docs: DataFrame, rules: HmmRules = HmmRules()) -> DataFrame:
     model = train(rows.filter("train"), rules)
     told = answers.filter("key is null").select("chunk", "part", "bucket", "payload")
     both = chunked.unionByName(told, allowMissingColumns=True)
-    lined = both.repartition("chunk").sortWithinPartitions("chunk", F.col("payload").isNull(), "doc_id", "hash")
+    lined = both.repartition(tasks, "chunk").sortWithinPartitions("chunk", F.col("payload").isNull(), "doc_id", "hash")
     return lined.mapInArrow(
         _scores(rules, buckets, model, totals),
         "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",
