@@ -17,10 +17,10 @@ from gaugeworks.operators.quality import validation_report
 from gaugeworks.catalogue import require_valid
 from gaugeworks.schema import READING_COLUMNS
 from gaugeworks.session import cut_lineage
-from gaugeworks.sources.payload import flatten_records, payload_records, read_payloads
+from gaugeworks.sources.landing import landed_records
 from gaugeworks.sources.publish import VersionedDataset, newest_day, publish_readings, read_days, upsert_days
 from gaugeworks.sources.published import high_water_mark, incremental_slice
-from gaugeworks.sources.resources import read_selected, require_resources, resources_in_window, select_resources
+from gaugeworks.sources.resources import require_resources, resources_in_window, select_resources
 
 
 def transform_readings(raw: DataFrame, catalogue: DataFrame | None = None, source_zone: str = "UTC") -> DataFrame:
@@ -68,15 +68,14 @@ def fetch_new(
 
 
 def extract_landed(
-    spark: SparkSession, landing: str, manifest: DataFrame, since: datetime, end: datetime
+    spark: SparkSession, landing: str, manifest: DataFrame, since: datetime, end: datetime, report: Observation | None = None
 ) -> DataFrame:
     """Records of a landing zone of JSON payloads that can matter to (since, end].
 
-    ``landing`` has ``basin=.../time_range=...`` directories; those of other resources, or of
-    years outside the window, are not read.
+    ``landing`` has ``basin=.../time_range=...`` folders; those of other resources, or of
+    years outside the window, are not opened.
     """
-    payloads = read_selected(read_payloads(spark, landing), resources_in_window(manifest, since, end))
-    return flatten_records(payload_records(payloads.drop("basin", "time_range")))
+    return landed_records(spark, landing, resources_in_window(manifest, since, end), report).drop("basin", "time_range")
 
 
 def run_hourly(

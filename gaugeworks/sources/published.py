@@ -29,6 +29,45 @@ def read_published(
     return reader.format(fmt).load(path)
 
 
+def read_readable(
+    spark: SparkSession, path: str, schema: T.StructType = READINGS
+) -> tuple[DataFrame, list[str]]:
+    """The Parquet files of a published table that can be read, and the names of those that cannot.
+
+    This is the caller's choice to go on without damaged files; with none left the table is
+    empty. A file counts as damaged if it does not end as a Parquet file does, which is
+    looked up per file without reading its rows.
+    """
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema), []
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found, good, bad = system.listFiles(folder, True), [], []
+    while found.hasNext():
+        status = found.next()
+        name = status.getPath().getName()
+        if name.startswith(("_", ".")):
+            continue
+        (good if _ends_as_parquet(system, status) else bad).append(status.getPath().toString())
+    rows = spark.read.schema(schema).option("basePath", path).parquet(*good) if good else spark.createDataFrame([], schema)
+    return rows, sorted(bad)
+
+
+def _ends_as_parquet(system, status) -> bool:
+    """Head and tail hold the format's mark, and the footer's length fits the file."""
+    size = status.getLen()
+    if size < 12:
+        return False
+    stream = system.open(status.getPath())
+    try:
+        stream.seek(size - 8)
+        tail = [stream.read() for _ in range(8)]
+    finally:
+        stream.close()
+    footer = int.from_bytes(bytes(tail[:4]), "little")
+    return bytes(tail[4:]) == b"PAR1" and footer + 12 <= size
+
+
 def high_water_mark(readings: DataFrame, default: datetime, per_station: bool = False) -> DataFrame:
     """Newest timestamp, else the default start (S4); optionally one per station."""
     start = F.lit(default).cast("timestamp")
