@@ -62,10 +62,9 @@ def _moment(c: Column) -> Column:
     return F.coalesce(F.date_format(c, "yyyy-MM-dd HH:mm"), F.lit("n/a"))
 
 
-def executive_summary(df: DataFrame) -> DataFrame:
-    """Per station: count, bounds, extremes, missing share and status mix (A4)."""
-    # two levels: the mix is collected from one row per (station, status)
-    by_status = df.groupBy("station_code", "flood_status").agg(
+def by_status(df: DataFrame, *more: str) -> DataFrame:
+    """One row per (station, status): count, bounds, extremes and missing levels."""
+    return df.groupBy(*more, "station_code", "flood_status").agg(
         F.count("*").alias("n"),
         F.min("timestamp").alias("start"),
         F.max("timestamp").alias("end"),
@@ -73,6 +72,16 @@ def executive_summary(df: DataFrame) -> DataFrame:
         F.max("water_level").alias("high"),
         F.count_if(F.col("water_level").isNull()).alias("missing"),
     )
+
+
+def executive_summary(df: DataFrame) -> DataFrame:
+    """Per station: count, bounds, extremes, missing share and status mix (A4)."""
+    # two levels: the mix is collected from one row per (station, status)
+    return summary_of_statuses(by_status(df))
+
+
+def summary_of_statuses(statuses: DataFrame) -> DataFrame:
+    """A4 from one row per (station, status)."""
     entry = F.when(
         F.col("flood_status").isNotNull(), F.struct((-F.col("n")).alias("rank"), F.col("flood_status").alias("status"))
     )
@@ -83,7 +92,7 @@ def executive_summary(df: DataFrame) -> DataFrame:
         ),
         ", ",
     )
-    return by_status.groupBy("station_code").agg(
+    return statuses.groupBy("station_code").agg(
         F.sum("n").alias("records"),
         _moment(F.min("start")).alias("start"),
         _moment(F.max("end")).alias("end"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -11,16 +12,16 @@ from gaugeworks.functions.levels import flood_status
 from gaugeworks.functions.text import reading_key
 from gaugeworks.operators import columns as cols
 from gaugeworks.operators.enrich import absent_stations, join_stations, monitored_only
-from gaugeworks.operators.merge import dedup_readings, retain_days
-from gaugeworks.operators.metadata import dataset_metadata
-from gaugeworks.operators.quality import validation_report
+from gaugeworks.operators.metadata import metadata_parts
+from gaugeworks.operators.summary import Report, Summary
 from gaugeworks.catalogue import require_valid
 from gaugeworks.schema import READING_COLUMNS
 from gaugeworks.session import cut_lineage
 from gaugeworks.sources.landing import landed_records
-from gaugeworks.sources.publish import VersionedDataset, newest_day, publish_readings, read_days, upsert_days
+from gaugeworks.sources.publish import newest_day, read_days, upsert_days, write_document
 from gaugeworks.sources.published import high_water_mark, incremental_slice
 from gaugeworks.sources.resources import require_resources, resources_in_window, select_resources
+from gaugeworks.sources.snapshots import FORMATS, DaySnapshots
 
 
 def transform_readings(raw: DataFrame, catalogue: DataFrame | None = None, source_zone: str = "UTC") -> DataFrame:
@@ -50,13 +51,14 @@ def enrich_readings(df: DataFrame, catalogue: DataFrame | None = None, sequence:
 
 @dataclass
 class HourlyRun:
-    """What one run produced: the version written and its reports."""
+    """What one run produced: the current version, what was written, and the reports."""
 
-    version: str
+    version: str | None
+    days: list[str]
     dropped_rows: int
     readings: DataFrame
     absent: DataFrame
-    report: DataFrame
+    report: Report
 
 
 def fetch_new(
@@ -95,32 +97,41 @@ def run_hourly(
     time_ranges: list[str] | None = None,
     sequence: str | None = None,
     keep_versions: int = 24,
+    formats: Sequence[str] = FORMATS,
 ) -> HourlyRun:
     """Water mark, extract, slice, transform, merge, publish and validate.
 
     ``landed`` is a landing zone or a table of its records; ``sequence`` names the column
-    that tells the later of two equal keys.
+    that tells the later of two equal keys. Only days that receive rows are read, merged and
+    written, in every format; the reports follow from the days' kept summaries. A run
+    without new rows writes nothing.
     """
     require_valid(catalogue)
     chosen = require_resources(select_resources(manifest, basins, time_ranges))
-    dataset = VersionedDataset(spark, root)
-    existing = dataset.read()
-    since = backfill_from or high_water_mark(existing, default_start).first()["since"]
+    dataset = DaySnapshots(spark, root)
+    since = backfill_from or dataset.newest() or default_start
     records = extract_landed(spark, landed, chosen, since, end) if isinstance(landed, str) else landed
     untimed = Observation("untimed rows")
     fetched = fetch_new(records, catalogue, since, end, source_zone)
     fresh = enrich_readings(cols.drop_untimed(fetched, report=untimed), catalogue, sequence)
-    # several actions follow: the deduplicated rows are written once
-    merged = cut_lineage(dedup_readings(existing, fresh, sequence=sequence))
-    readings = retain_days(merged, retention_days)
-    metadata = dataset_metadata(
-        readings, catalogue, manifest, retention_days, end.strftime("%Y-%m-%dT%H:%M:%SZ"), descriptors, provider
-    )
-    version = publish_readings(readings, metadata, root)
-    dataset.prune(keep_versions)
-    published = dataset.read()
+
+    def describe(summary: Summary, folder: str) -> None:
+        fold = cut_lineage(summary.status_fold().selectExpr("station_code", "flood_status", "n AS records", "start AS low", "end AS high"))
+        moment = end.strftime("%Y-%m-%dT%H:%M:%SZ")
+        head, lists = metadata_parts(fold, READING_COLUMNS, catalogue, manifest, retention_days, moment, descriptors, provider)
+        write_document(head, lists, f"{folder}/metadata")
+
+    done = dataset.commit(fresh, sequence, retention_days, formats, describe)
+    if done.days:
+        dataset.prune(keep_versions)
+    summary = dataset.summary(retention_days)
     return HourlyRun(
-        version, untimed.get["dropped_rows"], published, absent_stations(published, catalogue), validation_report(published)
+        done.version,
+        done.days,
+        untimed.get["dropped_rows"],
+        dataset.read(retention_days),
+        absent_stations(summary.stations, catalogue),
+        summary.report(),
     )
 
 

@@ -58,7 +58,7 @@ def read_payload_variants(spark: SparkSession, zone: str, folders: list[str]) ->
     if not folders:
         files = spark.createDataFrame([], PAYLOAD_FILES)
     else:
-        files = spark.read.schema(PAYLOAD_FILES).option("wholetext", True).option("basePath", zone).text(folders)
+        files = spark.read.schema(PAYLOAD_FILES).option("basePath", zone).text(folders, wholetext=True)
     return files.select(*KEYS, F.try_parse_json("value").alias("payload"))
 
 
@@ -120,7 +120,7 @@ def bad_payloads(spark: SparkSession, zone: str, chosen: DataFrame) -> DataFrame
     folders = resource_folders(spark, zone, chosen)
     if not folders:
         return spark.createDataFrame([], "file string")
-    files = spark.read.schema(PAYLOAD_FILES).option("wholetext", True).option("basePath", zone).text(folders)
+    files = spark.read.schema(PAYLOAD_FILES).option("basePath", zone).text(folders, wholetext=True)
     return files.filter(F.try_parse_json("value").isNull()).select(F.input_file_name().alias("file"))
 
 

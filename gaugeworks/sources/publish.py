@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -55,6 +57,41 @@ def write_json(document: DataFrame, path: str) -> None:
     as_json(document).coalesce(1).write.mode("overwrite").text(path)
 
 
+def document_lines(head: DataFrame, sections: dict[str, DataFrame]) -> DataFrame:
+    """``(section, place, key, line)``: a JSON object, a line per row of its lists.
+
+    ``head`` is one row of scalar fields. Each section becomes a list of its rows, which must
+    differ, in order of its first column. No row holds more than one element.
+    """
+    text = F.to_json(F.struct("*"))
+    opening = F.concat(F.substring(text, 1, F.length(text) - 1), F.when(F.length(text) > 2, ",").otherwise(""))
+    none = F.lit(None).cast("string")
+    parts = [head.select(F.lit(-1).alias("section"), F.lit(0).alias("place"), none.alias("key"), opening.alias("line"))]
+    for number, (name, rows) in enumerate(sections.items()):
+        key = F.col(rows.columns[0])
+        place = F.struct(key.isNotNull().alias("held"), key.alias("key"), text.alias("text"))
+        comma = F.when(place == rows.agg(F.min(place)).scalar(), "").otherwise(",")
+        line = F.concat(comma, text)
+        parts.append(rows.select(F.lit(number), F.lit(1), key.cast("string"), line))
+        closing = "]}" if number == len(sections) - 1 else "],"
+        ends = [(number, 0, None, json.dumps(name) + ":["), (number, 2, None, closing)]
+        parts.append(head.sparkSession.createDataFrame(ends, "section int, place int, key string, line string"))
+    return reduce(DataFrame.union, parts)
+
+
+def write_document(head: DataFrame, sections: dict[str, DataFrame], path: str) -> None:
+    """A document as text files that, one after another in order of name, are one JSON object."""
+    order = ["section", "place", "key", F.ltrim("line", F.lit(","))]
+    lines = document_lines(head, sections).repartitionByRange(*order).sortWithinPartitions(*order)
+    lines.select("line").write.mode("overwrite").text(path)
+
+
+def document_text(spark: SparkSession, path: str) -> str:
+    """A small document as one string."""
+    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
+    return "".join(r["value"] for r in sorted(files.collect()))
+
+
 class VersionedDataset:
     """Full versions side by side; readers follow a pointer that is renamed into place."""
 

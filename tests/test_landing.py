@@ -23,7 +23,7 @@ def put(zone, basin, years, **files):
     folder = zone / f"basin={basin}" / f"time_range={years}"
     folder.mkdir(parents=True, exist_ok=True)
     for name, content in files.items():
-        (folder / f"{name}.json").write_text(content if isinstance(content, str) else json.dumps(content))
+        (folder / f"{name}.json").write_text(content if isinstance(content, str) else json.dumps(content, indent=1))
 
 
 def rows_of(df):

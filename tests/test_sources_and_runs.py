@@ -13,7 +13,7 @@ from gaugeworks.operators import columns as cols
 from gaugeworks.plans import daily
 from gaugeworks.plans.hourly import refresh_days, run_hourly
 from gaugeworks.schema import HINDI_CATEGORIES, READINGS
-from gaugeworks.sources import payload, publish, published, resources
+from gaugeworks.sources import payload, publish, published, resources, snapshots
 
 RAW = "Station string, `Data Acquisition Time` string, `River Water Level Telemetry Hourly (meter)` string, SlNo bigint"
 
@@ -120,14 +120,17 @@ def test_hourly_run_twice_is_the_same_dataset(spark, tmp_path, catalogue):
     assert first.readings.count() == 21 and {r[0] for r in first.readings.select("station_code").collect()} == {"CAVMSI"}
     assert first.absent.count() == 6 and first.dropped_rows == 1
     again = run_hourly(spark, feed, end=datetime(2026, 1, 1, 20), **args)
-    assert again.readings.count() == 21 and again.version != first.version
+    # nothing new: nothing is written
+    assert again.readings.count() == 21 and again.version == first.version and again.days == []
     later = run_hourly(spark, feed, end=datetime(2026, 1, 2, 20), **args)
     assert later.readings.count() == 30
-    report = later.report.first()
+    report = later.report.totals.first()
     assert report["total_records"] == 30 and report["excess_duplicates"] == 0
-    meta = json.loads(spark.read.text(f"{later.version}/metadata").first()[0])
+    meta = json.loads(publish.document_text(spark, f"{later.version}/metadata"))
     assert meta["total_records"] == 30 and sum(s["records"] for s in meta["monitored_stations"]) == 30
-    assert spark.read.option("header", True).csv(f"{later.version}/csv").count() == 30
+    for name in ("csv", "stations"):
+        held = snapshots.DaySnapshots(spark, root).read_text_format(name)
+        assert sorted(map(str, held.collect())) == sorted(map(str, later.readings.collect()))
     backfill = run_hourly(spark, feed, end=datetime(2026, 1, 2, 20), backfill_from=datetime(2025, 12, 31), **args)
     assert backfill.readings.count() == 30
 
