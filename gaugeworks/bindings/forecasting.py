@@ -14,6 +14,7 @@ from gaugeworks.operators import features as fx
 from gaugeworks.operators import risk as rk
 from gaugeworks.operators import series as sr
 from gaugeworks.operators.blocks import KEY, hour_timestamp
+from gaugeworks.operators.quantiles import exact_quantiles_by
 from gaugeworks.plans import forecast as fc
 from gaugeworks.session import checkpoint_dir, cut_lineage
 
@@ -629,6 +630,20 @@ def residual_bands(spark, sf_dir):
     return fc.residual_bands(_training(spark, sf_dir).withColumn("prediction", F.col("lag_1")))
 
 
+@query(
+    "station_quantiles",
+    """SELECT CASE WHEN event_id % 10 < 9 THEN 'hot' ELSE CAST(user_id AS VARCHAR) END AS station_code, count(value) AS rows,
+         round(quantile_cont(value, 0.1), 6) AS q10, round(quantile_cont(value, 0.5), 6) AS q50, round(quantile_cont(value, 0.9), 6) AS q90
+       FROM events WHERE event_id % 50 <> 0 GROUP BY 1""",
+)
+def station_quantiles(spark, sf_dir):
+    """Exact quantiles of every station at once, one of which has nine tenths of the rows."""
+    code = F.when(F.col("event_id") % 10 < 9, "hot").otherwise(F.col("user_id").cast("string"))
+    rows = t.table(spark, sf_dir, "events").select(code.alias(KEY), t.level_with_dropouts().alias("level"))
+    found = exact_quantiles_by(rows, KEY, "level", [0.1, 0.5, 0.9])
+    return found.select(KEY, "rows", *[F.get("quantiles", F.lit(i)).alias(f"q{q}") for i, q in enumerate((10, 50, 90))])
+
+
 # --- models -----------------------------------------------------------------
 # DuckDB cannot train the model: its SQL gives what is known beforehand (stations, rows,
 # steps, times, last levels) and the invariants that must hold
@@ -722,3 +737,23 @@ def risk_snapshot(spark, sf_dir):
         risk.between(0, 100).alias("in_range"),
         (F.abs(risk - F.least(parts, F.lit(100.0))) < 1e-9).alias("adds_up"),
     )
+
+
+# the model's own numbers, which SQL cannot give; tests hold them against plain Python
+@query("gbt_fitted")
+def gbt_fitted(spark, sf_dir):
+    """Hold-out error and residual bands of every trained station."""
+    out, trained = _trained(spark, sf_dir)
+    held = spark.read.parquet(f"{out}/fitted").filter("is_holdout")
+    errors = held.groupBy(KEY).agg(F.avg(F.abs(F.col("prediction") - F.col("target"))).alias("mae"), F.count("*").alias("rows"))
+    return errors.join(trained.bands, KEY, "left")
+
+
+@query("gbt_forecast_fan")
+def gbt_forecast_fan(spark, sf_dir):
+    return _forecast(spark, sf_dir).select(KEY, "step", "forecast_ts", "mean", "low", "high")
+
+
+@query("risk_snapshot_scores")
+def risk_snapshot_scores(spark, sf_dir):
+    return fc.risk_snapshot(_forecast(spark, sf_dir), t.catalogue(spark))

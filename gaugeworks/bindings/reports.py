@@ -658,7 +658,7 @@ def lookback(spark, sf_dir):
     ),
 )
 def last_n(spark, sf_dir):
-    return now.last_n(t.readings(spark, sf_dir), 10, ties=[F.desc("event_id")])
+    return now.last_n(t.readings(spark, sf_dir), 10, ties=[F.desc("event_id")], cut=False)
 
 
 @query(
@@ -671,7 +671,7 @@ def last_n(spark, sf_dir):
 )
 def long_context(spark, sf_dir):
     rows = t.readings(spark, sf_dir).select("event_id", "station_code", "timestamp")
-    return now.last_n(rows, 2048, ties=[F.desc("event_id")])
+    return now.last_n(rows, 2048, ties=[F.desc("event_id")], cut=False)
 
 
 @query(

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from gaugeworks.schema import (
+    BUFFER_OPACITY,
+    BUFFER_RADIUS,
     DANGER,
     EXCEEDED,
     FLOOD_ALERT_MM,
@@ -51,8 +53,8 @@ def status_colour(status: Column) -> Column:
 
 
 def buffer_radius(risk: Column) -> Column:
-    return 5000.0 + 55000.0 * risk
+    return BUFFER_RADIUS[0] + BUFFER_RADIUS[1] * risk
 
 
 def buffer_opacity(risk: Column) -> Column:
-    return 0.12 + 0.25 * (risk / 100.0)
+    return BUFFER_OPACITY[0] + BUFFER_OPACITY[1] * (risk / 100.0)

@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from gaugeworks.functions import levels, text
 from gaugeworks.operators.merge import keep_last
 from gaugeworks.schema import NORMAL
+from gaugeworks.session import cut_lineage
+
 
 def latest_reading(df: DataFrame, sequence: str | None = None) -> DataFrame:
     """Newest row per station (W1); a missing timestamp never wins, ties go to the later row."""
@@ -15,18 +17,24 @@ def latest_reading(df: DataFrame, sequence: str | None = None) -> DataFrame:
 
 
 def last_n(
-    df: DataFrame, n: int, key: str = "station_code", time: str = "timestamp", ties: list[Column] | None = None
+    df: DataFrame,
+    n: int,
+    key: str = "station_code",
+    time: str = "timestamp",
+    ties: list[Column] | None = None,
+    cut: bool = True,
 ) -> DataFrame:
     """Last ``n`` rows per station (W13, O4); later ``ties`` first on equal times, no time last.
 
     Rows are counted per station and day (of a timestamp, or of an hour number);
     summed from the newest day on, the counts say which days can hold the last
     ``n`` rows. Only their rows are ranked, so no task sees more of a station
-    than ``n`` rows and a day.
+    than ``n`` rows and a day. Count and ranking both read the rows, which are written once
+    for that unless ``cut`` says that they are a plain scan.
     """
     stamp = dict(df.dtypes)[time].startswith(("timestamp", "date"))
     day = F.to_date(time) if stamp else F.floor(F.col(time) / 24)
-    df = df.withColumn("_day", day)
+    df = cut_lineage(df.withColumn("_day", day)) if cut else df.withColumn("_day", day)
     newer = W.partitionBy(key).orderBy(F.desc_nulls_last("_day")).rowsBetween(W.unboundedPreceding, -1)
     days = (
         df.groupBy(key, "_day")

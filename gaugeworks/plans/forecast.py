@@ -12,6 +12,7 @@ from gaugeworks.functions.seasonal import seasonal_encodings
 from gaugeworks.operators.blocks import KEY, hour_timestamp
 from gaugeworks.operators.features import CATEGORIES, DIFFS, LAGS, ROLLS, category_codes, model_inputs
 from gaugeworks.operators.latest import last_n
+from gaugeworks.operators.quantiles import exact_quantiles_by
 from gaugeworks.operators.risk import MAX_HORIZON, bounded_horizon, residual_fan, risk_scores
 from gaugeworks.session import cut_lineage
 from gaugeworks.sources.publish import write_json, write_parquet
@@ -86,22 +87,13 @@ def mean_absolute_error(rows: DataFrame) -> DataFrame:
 
 
 def residual_bands(rows: DataFrame, min_rows: int = BAND_MIN_ROWS) -> DataFrame:
-    """10 % and 90 % residual quantiles per station with enough rows.
-
-    A station has at most one row per hour of its history, which bounds the
-    values one exact percentile holds.
-    """
-    residual = F.col("target") - F.col("prediction")
-    return (
-        rows.withColumn("residual", residual)
-        .groupBy(KEY)
-        .agg(
-            F.count("*").alias("rows"),
-            F.percentile("residual", F.lit(BAND_PROBS[0])).alias("low"),
-            F.percentile("residual", F.lit(BAND_PROBS[1])).alias("high"),
-        )
-        .filter(F.col("rows") >= min_rows)
-        .select(KEY, F.round("low", 4).alias("low_offset"), F.round("high", 4).alias("high_offset"))
+    """10 % and 90 % residual quantiles per station with enough rows (A20), no station in one task."""
+    found = exact_quantiles_by(rows.withColumn("residual", F.col("target") - F.col("prediction")), KEY, "residual", BAND_PROBS)
+    counted = rows.groupBy(KEY).agg(F.count("*").alias("held")).filter(F.col("held") >= min_rows)
+    return found.join(counted, KEY, "left_semi").select(
+        KEY,
+        F.round(F.get("quantiles", F.lit(0)), 4).alias("low_offset"),
+        F.round(F.get("quantiles", F.lit(1)), 4).alias("high_offset"),
     )
 
 
@@ -173,7 +165,7 @@ def forecast_states(series: DataFrame, catalogue: DataFrame, bands: DataFrame) -
     """
     known = series.join(bands.select(KEY), KEY, "left_semi").select(KEY, "hour", "level")
     held = cut_lineage(known)
-    newest = last_n(held, STATE_HOURS, time="hour")
+    newest = last_n(held, STATE_HOURS, time="hour", cut=False)
     counted = held.groupBy(KEY).agg(F.count("*").alias("clean_hours"))
     path = F.array_sort(F.collect_list(F.struct("hour", "level")))
     return (

@@ -77,6 +77,10 @@ STATUS_COLOURS = {
 }
 UNKNOWN_COLOUR = "#7f7f7f"
 
+# --- Fixed values: map buffers, at no risk and by risk (radius: per unit, opacity: per 100)
+BUFFER_RADIUS = (5000.0, 55000.0)
+BUFFER_OPACITY = (0.12, 0.25)
+
 # --- Fixed values: keys under which a landed payload may hold its records --
 PAYLOAD_KEYS = ["records", "data", "results", "observations"]
 

@@ -178,12 +178,12 @@ def upsert_days(
     """
     new = cut_lineage(new)  # read for its days, its untimed rows and the merge
     timed = new.filter(F.col("timestamp").isNotNull())
-    days = [r[0] for r in timed.select(F.to_date("timestamp").alias("day")).distinct().collect()]
+    days = timed.select(F.to_date("timestamp").alias("day")).distinct()
     untimed = new.filter(F.col("timestamp").isNull()).count()
-    if not days:
+    if timed.isEmpty():
         return untimed
     if path_exists(spark, root):
-        touched = spark.read.schema(DAY_SCHEMA).parquet(root).filter(F.col("day").isin(days)).drop("day")
+        touched = spark.read.schema(DAY_SCHEMA).parquet(root).join(days, "day", "left_semi").drop("day")
     else:
         touched = spark.createDataFrame([], READINGS)
     # the touched days are input and output: the merged rows are written aside first

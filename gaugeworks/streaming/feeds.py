@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from gaugeworks.sources.publish import upsert_days
+from gaugeworks.sources.snapshots import DaySnapshots
 
 
 def landed_stream(
@@ -42,16 +42,18 @@ def latest_stream(readings: DataFrame, columns: list[str], order: list[str]) ->
 
 
 def upsert_batches(
-    spark: SparkSession, root: str, sequence: str | None = None, retention_days: int = 0
+    spark: SparkSession, root: str, sequence: str | None = None, retention_days: int = 0, keep_versions: int = 24
 ) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` body: last-wins merge of each batch into the day table.
+    """``foreachBatch`` body: last-wins merge of each batch as a new version of the days.
 
-    Rewriting the same batch gives the same table, so a batch repeated after a
-    failure does no harm.
+    Readers see whole batches only. Merging the same batch again gives the same rows, so a
+    batch repeated after a failure does no harm.
     """
+    days = DaySnapshots(spark, root)
 
     def merge(batch: DataFrame, _: int) -> None:
-        upsert_days(spark, root, batch, sequence, retention_days)
+        if days.commit(batch, sequence, retention_days).days:
+            days.prune(keep_versions)
 
     return merge
 
