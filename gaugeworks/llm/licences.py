@@ -1,11 +1,13 @@
 """Licence scans by the Dice coefficient over word bigrams.
 
-A text's units are its lines, its blocks of consecutive non-blank lines and the whole
-text. Units and licence templates are normalised (A-Z lower-cased, anything but a-z and
+A text's units are its lines, its blocks of consecutive non-blank lines, the whole text and,
+for every template, the stretches of as many words as the template has that begin with one
+of its bigrams; so a notice is found inside a line or wrapped in a paragraph. Units and licence templates are normalised (A-Z lower-cased, anything but a-z and
 0-9 separates words) and compared by the sets of their word bigrams. With i common
 bigrams, a unit of at least i and a template of b bigrams reach Dice t only if i is at
 least t * b / (2 - t), and then only units of at most 2 * i / t - b bigrams; the few units
-that pass these bounds are counted exactly. Texts stay in their tasks.
+that pass these bounds are counted exactly. A stretch is only looked at if so many of the
+template's bigrams begin in it. Texts stay in their tasks.
 """
 
 from __future__ import annotations
@@ -20,8 +22,50 @@ from pyspark.sql import functions as F
 
 from gaugeworks.llm.batches import offsets_of, pieces, words_of
 
-# fixed values: customary notices and two short licence texts
+# fixed values: customary notices, file headers, tags and the first paragraphs of licence texts
 TEMPLATES = {
+    "Apache-2.0-header": (
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance "
+        "with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless "
+        "required by applicable law or agreed to in writing, software distributed under the License is distributed on "
+        "an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License "
+        "for the specific language governing permissions and limitations under the License."
+    ),
+    "BSD-text": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+        "the following conditions are met:"
+    ),
+    "GPL-2.0-header": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+        "option) any later version."
+    ),
+    "GPL-3.0-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+        "option) any later version."
+    ),
+    "LGPL-2.1-header": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+        "(at your option) any later version."
+    ),
+    "MIT-licensed": "Licensed under the MIT License.",
+    "MPL-2.0-header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+        "not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+    ),
+    "SPDX-Apache-2.0": "SPDX-License-Identifier: Apache-2.0",
+    "SPDX-BSD-2-Clause": "SPDX-License-Identifier: BSD-2-Clause",
+    "SPDX-BSD-3-Clause": "SPDX-License-Identifier: BSD-3-Clause",
+    "SPDX-CC-BY-4.0": "SPDX-License-Identifier: CC-BY-4.0",
+    "SPDX-GPL-2.0": "SPDX-License-Identifier: GPL-2.0-only",
+    "SPDX-GPL-3.0": "SPDX-License-Identifier: GPL-3.0-only",
+    "SPDX-ISC": "SPDX-License-Identifier: ISC",
+    "SPDX-LGPL-2.1": "SPDX-License-Identifier: LGPL-2.1-only",
+    "SPDX-MIT": "SPDX-License-Identifier: MIT",
+    "SPDX-MPL-2.0": "SPDX-License-Identifier: MPL-2.0",
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "BSD-3-Clause": "Licensed under the BSD 3-Clause License.",
     "CC-BY-4.0": "Licensed under CC BY 4.0.",
@@ -47,10 +91,14 @@ LEAST = 0.8
 SEPARATORS = r"[^a-z0-9\n]+"
 
 
-def bigrams(text: str) -> set[tuple[str, str]]:
-    """Bigrams of a normalised template."""
+def normalised(text: str) -> list[str]:
+    """Words of a normalised template."""
     lowered = "".join(c.lower() if c.isascii() else c for c in text)
-    words = "".join(c if c.isascii() and c.isalnum() else " " for c in lowered).split()
+    return "".join(c if c.isascii() and c.isalnum() else " " for c in lowered).split()
+
+
+def bigrams(text: str) -> set[tuple[str, str]]:
+    words = normalised(text)
     return set(zip(words[:-1], words[1:]))
 
 
@@ -68,6 +116,29 @@ class Templates:
             self.table[place[a], place[b]] = i
         self.holds = np.array([[pair in s for s in sets] for pair in self.pairs], bool).reshape(len(self.pairs), len(sets))
         self.sizes = np.array([len(s) for s in sets], np.int64)
+        self.lengths = [len(normalised(texts[n])) for n in self.names]
+
+    def stretches(self, place: np.ndarray, pair: np.ndarray, ends: np.ndarray, words) -> list[tuple[int, float, int]]:
+        """(place, dice, template) of stretches at or over the bound.
+
+        Place, pair and the end of its text list the bigrams found; ``words(first, last)`` gives words.
+        """
+        out = []
+        for k, length in enumerate(self.lengths):
+            mine = self.holds[pair, k] if len(pair) else np.zeros(0, bool)
+            at, kind, last = place[mine], pair[mine], np.minimum(place[mine] + length, ends[mine])
+            upto = np.searchsorted(at, last - 1)
+            # with i common bigrams a stretch has at least i
+            need = self.least * self.sizes[k] / (2 - self.least) - 1e-9
+            for j in np.nonzero(upto - np.arange(len(at)) >= need)[0].tolist():
+                common = len(set(kind[j : upto[j]].tolist()))
+                if common < need:
+                    continue
+                own = words(int(at[j]), int(last[j]))
+                dice = 2.0 * common / float(len(set(zip(own[:-1], own[1:]))) + self.sizes[k])
+                if dice >= self.least:
+                    out.append((int(at[j]), dice, k))
+        return out
 
     def matches(self, unit: np.ndarray, pair: np.ndarray, distinct) -> list[tuple[int, float, int]]:
         """(unit, dice, template) at or over the bound; unit and pair list the bigrams found.
@@ -113,6 +184,20 @@ def scan(texts: pa.Array, templates: Templates) -> tuple[list, list, list]:
     a, b = line[hit], line[hit + 1] if len(hit) else line[hit]
     best: dict[int, tuple[float, str]] = {}
     hits = np.zeros(len(texts), np.int64)
+
+    def note(doc: int, dice: float, k: int) -> None:
+        hits[doc] += 1
+        score = (-dice, templates.names[k])
+        if doc not in best or score < best[doc]:
+            best[doc] = score
+
+    doc_of_word = doc_of_line[line]
+    within = hit[doc_of_word[hit] == doc_of_word[hit + 1]] if len(hit) else hit
+    ends = np.cumsum(np.bincount(doc_of_word, minlength=len(texts)))
+    for place, dice, k in templates.stretches(
+        within, pair[within], ends[doc_of_word[within]], lambda first, last: words.slice(first, last - first).to_pylist()
+    ):
+        note(int(doc_of_word[place]), dice, k)
     for kind in (np.arange(len(counts)), block_of_line, doc_of_line):
         inside = (kind[a] == kind[b]) & (doc_of_line[a] == doc_of_line[b])
         of_word = kind[line]
@@ -123,11 +208,7 @@ def scan(texts: pa.Array, templates: Templates) -> tuple[list, list, list]:
             return len(set(zip(own[:-1], own[1:])))
 
         for unit, dice, k in templates.matches(kind[a][inside], pair[hit][inside], distinct):
-            doc = int(doc_of_line[np.searchsorted(kind, unit)])
-            hits[doc] += 1
-            score = (-dice, templates.names[k])
-            if doc not in best or score < best[doc]:
-                best[doc] = score
+            note(int(doc_of_line[np.searchsorted(kind, unit)]), dice, k)
     names = [best[d][1] if d in best else None for d in range(len(texts))]
     return names, [-best[d][0] if d in best else None for d in range(len(texts))], hits.tolist()
 
@@ -139,7 +220,8 @@ def licence_scan(
 
     Returns one row per document: ``doc_id, licence`` (null without a match; the first name
     among equals), ``dice`` and ``n_matches`` (pairs of a unit and a template), and the
-    carried columns. A one-line block counts as a line and as a block.
+    carried columns. A one-line block counts as a line and as a block; overlapping stretches
+    count each.
 
     Null or empty text matches nothing. Null and repeated doc_ids are rows like any other.
     Empty table: no rows. Further columns of any name are ignored unless carried.

@@ -89,10 +89,22 @@ def licence_sql(templates=licences.TEMPLATES, least=licences.LEAST) -> str:
     sizes as (select doc_id, unit, count(*) as a from pairs group by all),
     template_sizes as (select name, count(*) as b from template_pairs group by all),
     common as (select doc_id, unit, name, count(*) as i from pairs join template_pairs using (pair) group by all),
+    template_lists as (
+        select name, any_value(len(w)) as m, list(distinct pair) as held from template_words join template_pairs using (name) group by name),
+    starts as (
+        select doc_id, w, i from unit, unnest(range(1, len(w))) as r(i) where unit = 'd'),
+    stretches as (
+        select doc_id, name, held,
+               list_distinct(list_transform(range(i, least(i + m - 1, len(w))), lambda j: w[j] || ' ' || w[j + 1])) as own
+        from starts join template_pairs on pair = w[i] || ' ' || w[i + 1] join template_lists using (name)),
+    stretch_dice as (
+        select doc_id, name, 2.0 * len(list_intersect(own, held))::double / (len(own) + len(held))::double as dice from stretches),
     matches as (
         select doc_id, name, 2.0 * i::double / (a + b)::double as dice
         from common join sizes using (doc_id, unit) join template_sizes using (name)
-        where 2.0 * i::double / (a + b)::double >= {least}),
+        where 2.0 * i::double / (a + b)::double >= {least}
+        union all
+        select doc_id, name, dice from stretch_dice where dice >= {least}),
     best as (
         select doc_id, first(name order by dice desc, name) as licence, max(dice) as dice, count(*) as n_matches
         from matches group by doc_id)

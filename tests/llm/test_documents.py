@@ -489,6 +489,25 @@ def test_licences(spark):
     assert got[1].dice == 1.0 and got[6].n_matches == 0 and got[None].dice == 1.0
 
 
+def test_notices_inside_lines_and_paragraphs(spark):
+    bsd, header = licences.TEMPLATES["BSD-text"], licences.TEMPLATES["GPL-3.0-header"]
+    rows = [
+        (1, "Foo bar baz. Released under the MIT License."),
+        (2, "Copyright somebody.\n" + bsd.replace("forms, ", "forms,\n * ").replace("provided", "provided\n *") + " 1. Keep this."),
+        (3, "/* SPDX-License-Identifier: MPL-2.0 */ int x;"),
+        (4, "before " * 40 + header.replace("either", "under\neither") + " after" * 40),
+        (5, "Before. " + header.replace("version 3", "version 2") + " After."),
+        (6, "released under the sea, the MIT building is licensed"),
+        (7, "see " * 30 + "Licensed under CC BY 4.0 " * 50),
+        (8, None),
+    ]
+    frame = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id bigint, text string, dice int").repartition(2)
+    got = {r.doc_id: r for r in licences.licence_scan(frame.unionByName(frame)).collect()}
+    want = ["MIT", "BSD-text", "SPDX-MPL-2.0", "GPL-3.0-header", "GPL-2.0-header", None, "CC-BY-4.0", None]
+    assert [got[i].licence for i in range(1, 9)] == want
+    assert got[7].n_matches >= 50 and licences.licence_scan(frame).columns == ["doc_id", "licence", "dice", "n_matches"]
+
+
 # all of them
 
 
