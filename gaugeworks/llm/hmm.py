@@ -37,9 +37,11 @@ from gaugeworks.llm.batches import encoded, offsets_of, pieces, ragged, words_of
 from gaugeworks.session import cut_lineage, written
 
 CHUNK_BYTES = 12 << 20
-LINE_TOKENS = 600_000
+LINE_TOKENS = 1_500_000
 #: Tokens of a long text that are one lane of the recursion.
 STRETCH = 1024
+#: Tokens between two rescalings of a stretch's products.
+RESCALE = 8
 END = 0  # the class of the end token, which no word has
 
 
@@ -54,7 +56,7 @@ class HmmRules:
     gain: float = 0.03
     stay: float = 0.9
     floor: float = 0.05
-    piece_bytes: int = 4 << 20
+    piece_bytes: int = 8 << 20
 
 
 @dataclass(frozen=True)
@@ -132,10 +134,18 @@ def joints(model: Model, lanes: Lanes, emitted: np.ndarray, back: bool) -> tuple
     begin = np.where((lanes.number[some] == 0)[:, None, None], np.eye(states), model.move)
     for t, w in enumerate(width.tolist()):
         now = emitted[int(lanes.base[t]) + some[:w]][:, None, :]
-        through[:w] = (begin if t == 0 else through[:w] @ model.move) * now
-        scale = through[:w].sum(axis=2)
-        through[:w] /= scale[:, :, None]
-        logs[:w] += np.log(scale)
+        part = through[:w]
+        if t == 0:
+            np.multiply(begin, now, out=part)
+        else:  # one product of (stretch and state before, state) with the moves
+            np.multiply((part.reshape(-1, states) @ model.move).reshape(part.shape), now, out=part)
+        if t % RESCALE == RESCALE - 1 or t + 1 == len(width):
+            scale = part.sum(axis=2)
+            part /= scale[:, :, None]
+            logs[:w] += np.log(scale)
+    scale = through.sum(axis=2)  # stretches end between two rescalings
+    through /= scale[:, :, None]
+    logs += np.log(scale)
     logs -= logs.max(axis=1, keepdims=True)
     through *= np.exp(logs)[:, :, None]
     row = np.full(len(lanes.lengths), -1)
