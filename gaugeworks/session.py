@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,5 +47,30 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a compressed Parquet table in the shared folder: later reads take only the columns they use."""
     folder = f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    if (held := _SCRATCH.get()) is not None:
+        held.append(folder)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+_SCRATCH: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that :func:`written` makes inside the block are deleted at its end.
+
+    For jobs that write their result inside the block; a frame taken out of it cannot be read.
+    """
+    token = _SCRATCH.set([])
+    try:
+        yield
+    finally:
+        for folder in _SCRATCH.get():
+            delete_folder(spark, folder)
+        _SCRATCH.reset(token)

@@ -164,3 +164,15 @@ def test_a_document_of_many_stations_has_short_rows(spark, tmp_path):
 def test_summary_of_readings_without_days_table(spark):
     readings = batch(spark, 0, 30, 9)
     assert same(Summary.of(readings).executive_summary(), quality.executive_summary(readings))
+
+
+def test_scratch_tables_go_with_their_block(spark):
+    from gaugeworks.session import scratch, written
+
+    kept = written(spark.range(3).toDF("n"), "kept")
+    with scratch(spark):
+        inside = written(spark.range(5).toDF("n"), "inside")
+        assert inside.count() == 5
+        folder = inside.inputFiles()[0].rsplit("/", 1)[0]
+    assert publish.path_exists(spark, kept.inputFiles()[0]) and not publish.path_exists(spark, folder)
+    assert kept.count() == 3
