@@ -70,14 +70,21 @@ def fetch_new(
 
 
 def extract_landed(
-    spark: SparkSession, landing: str, manifest: DataFrame, since: datetime, end: datetime, report: Observation | None = None
+    spark: SparkSession,
+    landing: str,
+    manifest: DataFrame,
+    since: datetime,
+    end: datetime,
+    report: Observation | None = None,
+    lines: bool = False,
 ) -> DataFrame:
     """Records of a landing zone of JSON payloads that can matter to (since, end].
 
     ``landing`` has ``basin=.../time_range=...`` folders; those of other resources, or of
-    years outside the window, are not opened.
+    years outside the window, are not opened. With ``lines`` every line of a file is a payload.
     """
-    return landed_records(spark, landing, resources_in_window(manifest, since, end), report).drop("basin", "time_range")
+    chosen = resources_in_window(manifest, since, end)
+    return landed_records(spark, landing, chosen, report, lines).drop("basin", "time_range")
 
 
 def run_hourly(
@@ -98,11 +105,12 @@ def run_hourly(
     sequence: str | None = None,
     keep_versions: int = 24,
     formats: Sequence[str] = FORMATS,
+    lines: bool = False,
 ) -> HourlyRun:
     """Water mark, extract, slice, transform, merge, publish and validate.
 
-    ``landed`` is a landing zone or a table of its records; ``sequence`` names the column
-    that tells the later of two equal keys. Only days that receive rows are read, merged and
+    ``landed`` is a landing zone (with ``lines``, of files that hold a payload a line) or a
+    table of its records; ``sequence`` names the column that tells the later of two equal keys. Only days that receive rows are read, merged and
     written, in every format; the reports follow from the days' kept summaries. A run
     without new rows writes nothing.
     """
@@ -110,7 +118,7 @@ def run_hourly(
     chosen = require_resources(select_resources(manifest, basins, time_ranges))
     dataset = DaySnapshots(spark, root)
     since = backfill_from or dataset.newest() or default_start
-    records = extract_landed(spark, landed, chosen, since, end) if isinstance(landed, str) else landed
+    records = extract_landed(spark, landed, chosen, since, end, lines=lines) if isinstance(landed, str) else landed
     untimed = Observation("untimed rows")
     fetched = fetch_new(records, catalogue, since, end, source_zone)
     fresh = enrich_readings(cols.drop_untimed(fetched, report=untimed), catalogue, sequence)

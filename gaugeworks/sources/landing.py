@@ -49,17 +49,23 @@ def resource_folders(spark: SparkSession, zone: str, chosen: DataFrame) -> list[
     )
 
 
-def read_payload_variants(spark: SparkSession, zone: str, folders: list[str]) -> DataFrame:
-    """One row per payload file: ``basin, time_range, payload``; NULL where a file is no JSON.
+def _payload_texts(spark: SparkSession, zone: str, folders: list[str], lines: bool) -> DataFrame:
+    """Text of each payload: a file, or with ``lines`` a line that is not blank."""
+    if not folders:
+        return spark.createDataFrame([], PAYLOAD_FILES)
+    texts = spark.read.schema(PAYLOAD_FILES).option("basePath", zone).text(folders, wholetext=not lines)
+    return texts.filter(F.trim("value") != "") if lines else texts
+
 
-    The text is parsed to a variant, so no pass infers a schema and files may differ in
-    shape and types.
+def read_payload_variants(spark: SparkSession, zone: str, folders: list[str], lines: bool = False) -> DataFrame:
+    """One row per payload: ``basin, time_range, payload``; NULL where one is no JSON.
+
+    A payload is a file, or with ``lines`` a line: files of many payloads spare a large zone
+    the time that each file costs. The text is parsed to a variant, so no pass infers a
+    schema and payloads may differ in shape and types.
     """
-    if not folders:
-        files = spark.createDataFrame([], PAYLOAD_FILES)
-    else:
-        files = spark.read.schema(PAYLOAD_FILES).option("basePath", zone).text(folders, wholetext=True)
-    return files.select(*KEYS, F.try_parse_json("value").alias("payload"))
+    texts = _payload_texts(spark, zone, folders, lines)
+    return texts.select(*KEYS, F.try_parse_json("value").alias("payload"))
 
 
 def _held(payload: Column, path: str, kind: str) -> Column:
@@ -102,26 +108,27 @@ def typed_records(records: DataFrame, aliases: dict[str, list[str]] = FIELD_ALIA
 
 
 def landed_records(
-    spark: SparkSession, zone: str, chosen: DataFrame, report: Observation | None = None
+    spark: SparkSession, zone: str, chosen: DataFrame, report: Observation | None = None, lines: bool = False
 ) -> DataFrame:
     """Raw rows of the chosen resources of a zone of JSON payloads, all columns text.
 
-    Files that are no JSON have no records; with ``report`` they are counted as ``bad_payloads``.
-    A file of no bytes is no payload.
+    Payloads that are no JSON have no records; with ``report`` they are counted as ``bad_payloads``.
+    A file of no bytes is no payload. With ``lines`` every line of a file is a payload.
     """
-    payloads = read_payload_variants(spark, zone, resource_folders(spark, zone, chosen))
+    payloads = read_payload_variants(spark, zone, resource_folders(spark, zone, chosen), lines)
     if report is not None:
         payloads = payloads.observe(report, F.count_if(F.col("payload").isNull()).alias("bad_payloads"))
     return typed_records(variant_records(payloads))
 
 
-def bad_payloads(spark: SparkSession, zone: str, chosen: DataFrame) -> DataFrame:
-    """Files of the chosen resources that are no JSON."""
+def bad_payloads(spark: SparkSession, zone: str, chosen: DataFrame, lines: bool = False) -> DataFrame:
+    """Files of the chosen resources that are no JSON, or with ``lines`` hold a payload that is none."""
     folders = resource_folders(spark, zone, chosen)
     if not folders:
         return spark.createDataFrame([], "file string")
-    files = spark.read.schema(PAYLOAD_FILES).option("basePath", zone).text(folders, wholetext=True)
-    return files.filter(F.try_parse_json("value").isNull()).select(F.input_file_name().alias("file"))
+    bad = _payload_texts(spark, zone, folders, lines).filter(F.try_parse_json("value").isNull())
+    files = bad.select(F.input_file_name().alias("file"))
+    return files.distinct() if lines else files
 
 
 def stations_of_resources(

@@ -196,3 +196,31 @@ def test_unreadable_files_fail_or_are_left_out_and_named(spark, tmp_path):
     kept, bad = published.read_readable(spark, path)
     assert kept.isEmpty() and len(bad) == 4 and kept.columns == published.READINGS.fieldNames()
     assert published.read_readable(spark, str(tmp_path / "absent"))[1] == []
+
+
+def test_lines_are_payloads_like_files(spark, tmp_path):
+    documents = [{"result": {"records": [{"level": 1}]}}, [{"level": "2.5"}, 7], {"data": [{"level": {"deep": 1}, "WL": 3}]}, "not json"]
+    put(tmp_path / "files", "A", NOW, **{f"p{i}": d for i, d in enumerate(documents)})
+    lines = [d if isinstance(d, str) else json.dumps(d) for d in documents]
+    put(tmp_path / "lines", "A", NOW, one="\n".join([*lines[:2], "", "  "]), two="\n".join([*lines[2:], lines[3], ""]))
+    chosen, seen = manifest(spark, "A"), Observation("lines")
+    whole = landing.landed_records(spark, str(tmp_path / "files"), chosen)
+    got = landing.landed_records(spark, str(tmp_path / "lines"), chosen, seen, lines=True)
+    assert rows_of(got) == rows_of(whole) and len(rows_of(got)) == 3
+    assert seen.get["bad_payloads"] == 2
+    assert [r["file"].rsplit("/", 1)[-1] for r in landing.bad_payloads(spark, str(tmp_path / "lines"), chosen, lines=True).collect()] == ["two.json"]
+
+
+def test_the_zone_of_the_queries_has_few_files(spark, tmp_path):
+    from pathlib import Path
+
+    from gaugeworks.bindings import feeds
+
+    kinds = "element_at(array('click', 'view', 'purchase'), cast(id % 3 + 1 AS int)) AS event_type"
+    rows = spark.range(8_000).selectExpr("id AS event_id", "timestamp'2024-01-05' + make_dt_interval(0, 0, 0, id) AS ts", kinds, "id % 50 + 0.25D AS value", "'{}' AS props")
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    zone, _ = feeds._json_zone(spark, str(tmp_path))
+    files = [f for f in Path(zone.removeprefix("file:")).rglob("part-*")]
+    assert len(files) < 80  # 80 payloads to be read, 160 beside them
+    got = feeds.payload_variants(spark, str(tmp_path))
+    assert got.count() == 8_000 and got.filter("water_level IS NULL").count() == 160
