@@ -280,3 +280,15 @@ def test_pipeline_drops_near_copies_that_differ_in_more_than_three_bits(spark):
     assert kept.columns == table.columns
     want = sorted({str(c) for c in brute_near(rows)})
     assert sorted(str(r.doc_id) for r in kept.collect()) == want
+
+
+def test_near_copies_that_no_order_proposes_are_found(spark, monkeypatch):
+    """Buckets are compared in full at the end, whatever their orders have proposed."""
+    base = [f"w{i}" for i in range(200)]
+    texts = [" ".join([*base[: 100 + k], f"changed{k}", *base[101 + k :]]) for k in range(6)]
+    table = spark.createDataFrame([*enumerate(texts), (6, " ".join(reversed(base)))], "doc_id bigint, text string")
+    proposals = jaccard.proposals
+    monkeypatch.setattr(jaccard, "proposals", lambda members, turn: proposals(members, turn).filter("false"))
+    monkeypatch.setattr(jaccard, "AT_ONCE", 4)
+    got = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in jaccard.near_copies(table).collect())
+    assert got == [*((k, 0, k == 0) for k in range(6)), (6, 6, True)]
