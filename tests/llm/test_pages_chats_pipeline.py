@@ -7,6 +7,8 @@ import hashlib
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -292,3 +294,55 @@ def test_near_copies_that_no_order_proposes_are_found(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "AT_ONCE", 4)
     got = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in jaccard.near_copies(table).collect())
     assert got == [*((k, 0, k == 0) for k in range(6)), (6, 6, True)]
+
+
+def test_pairs_of_unlike_texts_in_a_bucket_are_ruled_out_without_their_texts(spark, monkeypatch):
+    """All share most words with one text and are no near copies of each other, but for one pair."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for k in range(150):
+        words = [f"w{i}" for i in range(200)]
+        for at in rng.choice(200, 4, replace=False).tolist():
+            words[at] = f"own{k}x{at}"
+        rows.append((k, " ".join(words)))
+    rows.append((150, rows[40][1] + " more"))
+    compared, verified = [], jaccard.verified
+    monkeypatch.setattr(jaccard, "_counted", lambda met: met.groupBy("u", "v").agg(F.count("*").alias("n")).filter("false"))
+    monkeypatch.setattr(jaccard, "verified", lambda pairs, *rest: compared.append(pairs.count()) or verified(pairs, *rest))
+    got = sorted((r["doc_id"], r["component_id"]) for r in jaccard.near_copies(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    assert got == sorted(zip(range(151), brute_near(rows)))
+    assert got[150] == (150, 40) and 0 < sum(compared) <= 300
+
+
+def test_sketches_never_differ_in_more_bits_than_sets_in_shingles():
+    texts = pa.array([text for _, text in near_rows()])
+    (sketched,) = jaccard._sketches([pa.RecordBatch.from_arrays([pa.array(range(len(texts))), texts], ["uid", "text"])])
+    found, place = jaccard._sets(pc.fill_null(texts, ""))
+    sets = [set(found[i].tolist()) for i in place.tolist()]
+    assert sketched.column("size").to_pylist() == [len(s) for s in sets]
+    bits = np.stack([sketched.column(c).to_numpy() for c in jaccard.BITS], 1).view(np.uint64)
+    for i in range(len(sets)):
+        for j in range(i):
+            differ = int(np.bitwise_count(bits[i] ^ bits[j]).sum())
+            d = len(sets[i] ^ sets[j])
+            assert differ <= d and (differ - d) % 2 == 0
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_meetings_of_sorted_rows_in_any_batches(seed):
+    rng = np.random.default_rng(seed)
+    keys = np.repeat(np.arange(12), rng.integers(1, 9, 12))
+    uids, labels = np.arange(len(keys)) * 3, rng.integers(0, 4, len(keys))
+    cuts = [0, *sorted(rng.choice(len(keys) + 1, 5).tolist()), len(keys)]
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(c[a:b]) for c in (keys, uids, labels)], ["key", "uid", "label"])
+        for a, b in zip(cuts[:-1], cuts[1:])
+    ]
+    out = [r for b in jaccard._meetings(True)(batches) for r in zip(*(b.column(c).to_pylist() for c in ("key", "u", "v")))]
+    pairs, rows = [], []
+    for key in range(12):
+        own = np.flatnonzero(keys == key).tolist()
+        met = [*zip(own[:-1], own[1:]), *([(own[0], own[2])] if len(own) > 2 else [])]
+        pairs += [(None, int(uids[a]), int(uids[b])) for a, b in met if labels[a] != labels[b]]
+        rows += [(key, int(uids[a]), None) for a in own if len(own) > 3 or key in (0, 11)]
+    assert sorted(map(str, out)) == sorted(map(str, pairs + rows))
