@@ -296,6 +296,29 @@ def test_near_copies_that_no_order_proposes_are_found(spark, monkeypatch):
     assert got == [*((k, 0, k == 0) for k in range(6)), (6, 6, True)]
 
 
+def test_near_copies_that_share_no_key_are_found(spark):
+    """Four of five shingles are common, and none of the 60 keys is."""
+    texts = [" ".join(f"t{i}x{k}" for k in range(n)) for i in (77252, 96645, 173087, 177542) for n in (9, 8)]
+    keys = jaccard.band_keys(pa.array(texts))
+    assert not (keys[::2] == keys[1::2]).any()
+    texts = [*texts, texts[0] + " more", *(" ".join(f"t5x{k}" for k in range(n)) for n in (9, 7)), None]
+    table = spark.createDataFrame([*zip(range(5, 17), texts)], "doc_id bigint, text string").repartition(3)
+    stage = dict(corpus_pipeline.STAGES)["near_dedup"]
+    assert sorted(r.doc_id for r in stage(spark, table, "").collect()) == [5, 7, 9, 11, 14, 15, 16]
+    got = sorted((r.doc_id, r.component_id) for r in jaccard.near_copies(table).collect())
+    assert got == sorted(zip(range(5, 17), brute_near([*zip(range(5, 17), texts)])))
+
+
+def test_near_copies_in_large_buckets_without_keys_are_found(spark, monkeypatch):
+    """As if no two documents shared a key: their rarest shingles alone lead to all links."""
+    meetings, turns = jaccard._met, []
+    monkeypatch.setattr(jaccard, "_met", lambda *a, **b: turns.append(a) or meetings(*a, **b).filter("false"))
+    rows = near_rows()
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    got = sorted((str(r.doc_id), str(r.component_id)) for r in jaccard.near_copies(table).collect())
+    assert turns and got == sorted(zip(map(str, [i for i, _ in rows]), map(str, brute_near(rows))))
+
+
 def test_pairs_of_unlike_texts_in_a_bucket_are_ruled_out_without_their_texts(spark, monkeypatch):
     """All share most words with one text and are no near copies of each other, but for one pair."""
     rng = np.random.default_rng(3)
