@@ -351,6 +351,24 @@ def test_sketches_never_differ_in_more_bits_than_sets_in_shingles():
             assert differ <= d and (differ - d) % 2 == 0
 
 
+def test_prints_rule_out_no_similar_sets():
+    long = [f"w{i}" for i in range(2000)]
+    texts = [*(text for _, text in near_rows()), " ".join(long), " ".join(long[:1700]), " ".join(long[300:]), " ".join(reversed(long))]
+    (made,) = jaccard._prints([pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["uid", "text"])])
+    found, place = jaccard._sets(pc.fill_null(pa.array(texts), ""))
+    sets = [set(found[i].tolist()) for i in place.tolist()]
+    short = np.stack([made.column(c).to_numpy() for c in jaccard.SHORT], 1).view(np.uint64)
+    u, v = np.triu_indices(len(texts), 1)
+    ends = {f"{side}_{c}": made.column(c).take(pa.array(at)) for side, at in (("u", u), ("v", v)) for c in ("size", "print")}
+    batch = pa.RecordBatch.from_pydict({"u": u, "v": v} | ends)
+    (left,) = jaccard._unlike_left_out(0.8)([batch])
+    left = set(zip(left.column("u").to_pylist(), left.column("v").to_pylist()))
+    similar = {(i, j) for i, j in zip(u.tolist(), v.tolist()) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])}
+    n = len(texts)
+    assert similar <= left and len(left) <= 2 * len(similar) and (n - 4, n - 3) in similar and (n - 4, n - 1) not in left
+    assert all(np.bitwise_count(short[i] ^ short[j]).sum() <= len(sets[i] ^ sets[j]) for i, j in zip(u, v))
+
+
 @pytest.mark.parametrize("seed", range(30))
 def test_meetings_of_sorted_rows_in_any_batches(seed):
     rng = np.random.default_rng(seed)
